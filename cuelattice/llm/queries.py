@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelattice.llm import bpe, exact, hosts, packing, sharding
+from cuelattice.llm import bpe, exact, hosts, packing, sharding, simhash, sketch
 from cuelattice.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups(table(spark, sf_dir, "documents"), size=3)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
@@ -40,6 +44,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def hosts_sql() -> str:
     """The rules and the shrinkage of op6 in SQL."""
     moments = """
@@ -76,10 +84,12 @@ def hosts_sql() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 #: SQL for the operators that SQL can express; the others are tested against brute force in tests/llm.
