@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelattice.llm import bpe, exact, hosts, packing, sharding, simhash, sketch
+from cuelattice.llm import bpe, exact, hosts, packing, quality, sharding, simhash, sketch
 from cuelattice.llm.common import table
 
 
@@ -44,6 +44,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), limit=512)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_token_counts": op8_token_counts,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
 
