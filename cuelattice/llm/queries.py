@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelattice.llm import bpe, exact, hosts, packing, quality, sharding, simhash, sketch
+from cuelattice.llm import bpe, exact, hosts, packing, passages, quality, sharding, simhash, sketch
 from cuelattice.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=16)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), size=3)
 
@@ -88,6 +92,7 @@ def hosts_sql() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
