@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cuelattice.llm import bpe, exact, hosts, packing, passages, quality, sharding, simhash, sketch
+from cuelattice.llm import bpe, exact, hosts, packing, passages, pieces, quality, sharding, simhash, sketch
 from cuelattice.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups(table(spark, sf_dir, "documents"), size=3)
 
 
+def op4_sentencepiece_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), dropout=0.1, seed=2024)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.groups(table(spark, sf_dir, "documents"))
 
@@ -94,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_sentencepiece_merge_dropout": op4_sentencepiece_merge_dropout,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_url_filters": op6_url_filters,
     "op7_best_fit_packing": op7_best_fit_packing,
