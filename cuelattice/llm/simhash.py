@@ -149,3 +149,84 @@ def groups(docs: DataFrame, size: int = 3) -> DataFrame:
     least = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     known = labelled.select("fp", "root").join(least, "root").select("fp", "component_id")
     return marked.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Word pairs, four blocks of 64 bits; differing bits of a candidate beyond which its similarity is not worked out.
+PAIR, BLOCKS, FAR = 2, 4, 44
+
+
+def candidates(marked: DataFrame, blocks: int = BLOCKS, far: int = FAR) -> DataFrame:
+    """Distinct (u, v) that may be similar, from rows (doc_id, fp0 ..) of unique doc_ids.
+
+    Every row emits the ball around each 32-bit segment. A key's members are not
+    paired off: each is linked to the densest of them, the one whose keys have the most
+    members in all, which in a group of copies is the text that the others were made
+    from. So rows stay in proportion to the documents.
+    """
+    fps = [F.col(f"fp{t}") for t in range(blocks)]
+    keys = F.concat(*[_keys(half(fp), s) for s, (half, fp) in enumerate((h, fp) for fp in fps for h in (low, high))])
+    entries = marked.select("doc_id", F.explode(keys).alias("key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialise(entries.join(sizes, "key"), "shared")
+    weight = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    weighed = shared.join(weight, "doc_id")
+    hubs = weighed.groupBy(F.col("key").alias("hub_key")).agg(F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("minus"))).alias("hub"))
+    pairs = shared.join(hubs.select("hub_key", (-F.col("hub.minus")).alias("hub")), F.col("key") == F.col("hub_key")).where("doc_id <> hub")
+    pairs = pairs.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct()
+    side = lambda at: marked.select(F.col("doc_id").alias(at), *[F.col(f"fp{t}").alias(f"{at}{t}") for t in range(blocks)])
+    both = pairs.join(side("u"), "u").join(side("v"), "v")
+    apart = sum((distance(F.col(f"u{t}"), F.col(f"v{t}")) for t in range(blocks)), F.lit(0))
+    return both.where(apart <= far).select("u", "v")
+
+
+def _keys(segment: Column, number: int) -> Column:
+    return F.transform(ball(segment), lambda k: k.bitwiseOR(F.lit(number << 32)))
+
+
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, shingles: the distinct hashes (32 bits each, ascending) of the text's word shingles."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words(t or ""), size).astype(np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+
+    arrow_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, shingles binary")
+
+
+def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
+    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``."""
+    marked = prints(docs.where(F.col("doc_id").isNotNull()), PAIR, BLOCKS)
+    blank = F.lit(True)
+    for t in range(BLOCKS):
+        blank = blank & (F.col(f"fp{t}") == 0)
+    marked = materialise(marked.where(~blank).dropDuplicates(["doc_id"]), "prints")
+    pairs = materialise(candidates(marked), "candidates")
+    wanted = pairs.select(F.col("u").alias("want_id")).union(pairs.select("v")).distinct()
+    sets = materialise(shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("want_id"), "left_semi"), size).dropDuplicates(["doc_id"]), "sets")
+    side = lambda at: sets.select(F.col("doc_id").alias(at), F.col("shingles").alias(f"{at}_set"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                ok.append(both > 0 and both >= similar * (len(a) + len(b) - both))
+            kept = batch.filter(pa.array(ok, pa.bool_()))
+            yield kept.select(["u", "v"])
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(scan, f"u {kind}, v {kind}")
+
+
+def drop_near(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns: of each group of similar texts, the smallest doc_id.
+
+    A group is a connected component of similar pairs. Rows without doc_id, and null or
+    blank texts, are in no group and stay; rows that share a doc_id stay or go together.
+    """
+    gone = components(similar_links(docs, size, similar)).where("node <> root").select(F.col("node").alias("gone_id"))
+    return docs.select(F.struct("*").alias("row")).join(gone, F.col("row.doc_id") == F.col("gone_id"), "left_anti").select("row.*")
