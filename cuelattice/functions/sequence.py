@@ -12,6 +12,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from cuelattice.functions.text import lexical_words, within_counts
 
@@ -24,13 +25,13 @@ def matcher(a: list[str], b: list[str]) -> difflib.SequenceMatcher:
     return difflib.SequenceMatcher(a=a, b=b, autojunk=False)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(Ty.DoubleType())
 def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """2 x matched / total over two word arrays. The order matters; two empty ones give 1; null counts as empty."""
     return pd.Series([matcher(list(x) if x is not None else [], list(y) if y is not None else []).ratio() for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("array<struct<i:int,j:int>>")
+@F.pandas_udf(Ty.ArrayType(Ty.StructType([Ty.StructField("i", Ty.IntegerType()), Ty.StructField("j", Ty.IntegerType())])))
 def index_map(a: pd.Series, b: pd.Series) -> pd.Series:
     """Index pairs inside equal blocks of the two token arrays' normal forms; empty normal forms take part."""
 
@@ -51,7 +52,7 @@ def merged(a: str, b: str) -> str:
     return " ".join(out)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(Ty.StringType())
 def mechanical_merge(a: pd.Series, b: pd.Series) -> pd.Series:
     """``merged`` for every pair; null counts as empty."""
     return pd.Series([merged(x or "", y or "") for x, y in zip(a, b)])

@@ -34,7 +34,7 @@ def anchors(candidates: DataFrame, key: list[str], index: str = "a_idx") -> Data
     near = W.partitionBy(*key).orderBy(index).rowsBetween(-NEIGHBOURS, NEIGHBOURS)
     plausible = F.abs("delta") <= MAX_OFFSET
     votes = F.sort_array(F.collect_list(F.when(plausible, F.col("delta"))).over(near))
-    rows = candidates.withColumn("votes", votes).withColumn("median", F.expr("try_element_at(votes, size(votes) div 2 + 1)"))
+    rows = candidates.withColumn("votes", votes).withColumn("median", F.expr("try_element_at(votes, cast(size(votes) div 2 + 1 AS int))"))
     return rows.withColumn("accepted", F.coalesce(plausible & (F.abs(F.col("delta") - F.col("median")) <= MAX_SPREAD), F.lit(False))).drop("votes")
 
 

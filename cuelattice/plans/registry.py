@@ -1,27 +1,352 @@
-"""The engine's registered queries and their DuckDB SQL."""
+"""The engine's registered queries; their DuckDB SQL is in ``oracles``."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from cuelattice.functions import sequence as S
 from cuelattice.functions import text as T
+from cuelattice.operators import captions, chunks, fusion, reconcile, records, surface
+from cuelattice.plans import fixtures as X
+from cuelattice.plans.oracles import ORACLES
+from cuelattice.sources import readers
 
+__all__ = ["ORACLES", "QUERIES"]
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def long(c: Column) -> Column:
+    return c.cast("long")
+
+
+@query
 def lexical_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lexical words of every document (flagship)."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    words = T.lexical_words(F.coalesce("text", F.lit("")))
-    return docs.select("doc_id", F.size(T.tokens(F.coalesce("text", F.lit("")))).cast("long").alias("tokens"), F.size(words).cast("long").alias("lexical_words"))
+    """Tokens and lexical words of every document (flagship)."""
+    text = F.coalesce("text", F.lit(""))
+    return X.table(spark, sf_dir, "documents").select("doc_id", long(F.size(T.tokens(text))).alias("tokens"), long(F.size(T.lexical_words(text))).alias("lexical_words"))
+
+
+@query
+def token_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each normal form occurs."""
+    return X.tokens(spark, sf_dir).groupBy(T.normal_token(F.col("text")).alias("norm")).agg(F.count("*").alias("n"))
+
+
+@query
+def clean_generation_local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.raw_outputs(spark, sf_dir).select("doc_id", T.clean_local(F.col("raw")).alias("cleaned"))
+
+
+@query
+def clean_generation_remote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.raw_outputs(spark, sf_dir).select("doc_id", T.clean_remote(F.col("raw")).alias("cleaned"))
+
+
+@query
+def sentence_clause_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.tokens(spark, sf_dir).groupBy("doc_id").agg(F.count_if(T.ends_sentence(F.col("text"))).alias("sentence_ends"), F.count_if(T.ends_clause(F.col("text"))).alias("clause_ends"))
+
+
+@query
+def timestamp_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    at = F.col("event_id") * F.lit(7.1234) - 5
+    return X.table(spark, sf_dir, "events").select("event_id", T.timestamp(at).alias("srt_time"), T.timestamp(at, False).alias("vtt_time"))
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nine = X.tokens(spark, sf_dir).groupBy("doc_id", F.expr("pos div 9").alias("line")).agg(F.sort_array(F.collect_list(F.struct("pos", "text"))).alias("p"))
+    return nine.select("doc_id", long(F.col("line")).alias("line"), T.join_words(F.transform("p", lambda x: x["text"])).alias("text"))
+
+
+@query
+def wrap_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).select("doc_id", "line", T.wrap_balanced(F.col("text")).alias("wrapped"), T.can_wrap(F.col("text")).alias("fits"))
+
+
+@query
+def chunk_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.described(X.chunks(spark, sf_dir)).withColumns({c: long(F.col(c)) for c in ("chapter_id", "part", "start_frame", "end_frame")})
+
+
+@query
+def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.summary(chunks.described(X.chunks(spark, sf_dir)))
+
+
+@query
+def config_defaults_and_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = F.col("s_suppkey")
+    jobs = X.table(spark, sf_dir, "supplier").select(
+        F.when(n % 11 == 0, "Job 1").when(n % 13 == 0, "twin").otherwise(F.concat(F.lit("job-"), n.cast("string"))).alias("id"),
+        F.when(n % 17 == 0, " ").when(n % 2 == 0, F.concat(F.lit("/media/"), n.cast("string"))).otherwise(F.concat(F.lit("in/"), n.cast("string"))).alias("source"),
+        F.when(n % 3 == 0, F.lit("/scratch/w")).alias("work_dir"),
+        F.lit(None).cast("string").alias("output_dir"),
+        F.when(n % 7 == 0, F.lit("../up")).when(n % 5 == 0, F.lit("book.v1")).alias("output_basename"),
+        F.when(n % 4 == 0, F.lit("terms.txt")).alias("glossary_file"),
+    )
+    return readers.described_jobs(jobs, "/srv/project")
+
+
+@query
+def pending_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.pending(X.table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars"), X.table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query
+def missing_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.missing(X.table(spark, sf_dir, "documents"), X.table(spark, sf_dir, "labels"), "doc_id", ["source"], "doc_id")
+
+
+@query
+def completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.completeness(X.table(spark, sf_dir, "documents"), X.table(spark, sf_dir, "labels"), "source", "doc_id")
+
+
+@query
+def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as jobs, those with an order as complete."""
+    jobs = X.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    return records.unfinished(jobs, X.table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id")))
+
+
+@query
+def last_wins_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.last_wins(X.table(spark, sf_dir, "events").select("user_id", "event_id", "event_type", "value"), "user_id", "event_id")
+
+
+@query
+def duplicate_job_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.duplicate_ids(X.table(spark, sf_dir, "events").select(F.col("user_id").alias("id")))
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.turn_pairs(spark, sf_dir).withColumn("id", F.concat_ws("/", "book_id", T.chunk_id(F.col("chapter_id"), F.col("part"))))
+    side = lambda c: rows.select("id", F.col(c).alias("text"))
+    return reconcile.candidate_pairs(rows.select("id", "conv_id", "chunk_pos", "chapter_title", "part"), side("a_text"), side("b_text"))
+
+
+@query
+def candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir).select("id", long(F.size("a_words")).alias("a_count"), long(F.size("b_words")).alias("b_count"), "identical")
+
+
+@query
+def prompt_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.turn_pairs(spark, sf_dir)
+    terms = F.when(F.col("conv_id") % 2 == 0, "Ada, Bly").otherwise(" ")
+    return rows.select("book_id", long(F.col("chunk_pos")).alias("chunk_pos"), T.prompt(F.col("chapter_title"), F.col("part"), F.col("a_text"), F.col("b_text"), terms).alias("prompt"))
+
+
+@query
+def count_bounds_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.turn_pairs(spark, sf_dir).withColumn("text", F.when(F.col("chunk_pos") % 5 == 0, F.concat("a_text", F.lit(" ```"))).otherwise(F.col("a_text")))
+    return rows.select("book_id", long(F.col("chunk_pos")).alias("chunk_pos"), S.valid_by_counts(F.col("text"), F.col("a_text"), F.col("b_text")).alias("within"))
+
+
+def _methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_id") % 5
+    method = F.when(kind == 0, "remote-mechanical-FALLBACK").when(kind == 1, "remote-error-fallback").when(kind == 2, "identical").when(kind == 3, "remote:m")
+    return X.table(spark, sf_dir, "events").select("event_id", method.alias("method"))
+
+
+@query
+def retry_purge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.purge_fallbacks(_methods(spark, sf_dir))
+
+
+@query
+def null_timestamp_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = X.timed_words(spark, sf_dir).select("doc_id", long(F.col("pos")).alias("pos"), F.when(F.col("pos") % 13 != 0, F.col("start")).alias("start"), F.when(F.col("pos") % 7 != 0, F.col("end")).alias("end"))
+    fixed = fusion.repair_times(words, F.lit(9999.0))
+    return fixed.select("doc_id", "pos", fusion.absolute(F.lit(0.5), F.col("start")).alias("start"), fusion.absolute(F.lit(0.5), F.col("end")).alias("end"))
+
+
+@query
+def words_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of eight-word chunks whose odd chunks come 300 ms early, so that neighbouring chunks interleave."""
+    early = F.when(F.expr("(pos div 8) % 2 = 1"), 300).otherwise(0)
+    words = X.timed_words(spark, sf_dir).select(
+        "doc_id", "text", ((F.col("start_ms") - early) / 1000.0).alias("start"), ((F.col("end_ms") - early) / 1000.0).alias("end"), F.expr("pos div 8").alias("chunk_pos"), (F.col("pos") % 8).alias("word_pos")
+    )
+    return captions.sorted_words(words, "doc_id").withColumns({c: long(F.col(c)) for c in ("chunk_pos", "word_pos", "pos")})
+
+
+@query
+def gap_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = captions.islands(X.timed_words(spark, sf_dir), "doc_id")
+    return marked.groupBy("doc_id", "island").agg(F.count("*").alias("words"), F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+@query
+def event_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    minutes = F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(60_000_000.0)
+    marked = captions.event_islands(X.table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), "user_id", minutes, "event_id", 480.0)
+    return marked.groupBy("user_id", "island").agg(F.count("*").alias("events"), F.min("event_id").alias("least_event"), F.max("event_id").alias("last_event"))
+
+
+@query
+def anchor_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fusion.anchors(X.candidates(spark, sf_dir).where("delta IS NOT NULL"), ["doc_id"], "pos")
+    return found.select("doc_id", long(F.col("pos")).alias("pos"), "delta", "median", "accepted")
+
+
+def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.candidates(spark, sf_dir)
+    accepted = fusion.anchors(rows.where("delta IS NOT NULL"), ["doc_id"], "pos").select("doc_id", "pos", "accepted")
+    return fusion.fuse(rows.join(accepted, ["doc_id", "pos"], "left"), ["doc_id"])
+
+
+@query
+def fused_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fused(spark, sf_dir).select("doc_id", long(F.col("pos")).alias("pos"), F.coalesce("accepted", F.lit(False)).alias("accepted"), "new_start", "new_end")
+
+
+@query
+def fusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fused(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("words"), F.count_if("accepted").alias("fused"), F.count_if(~F.col("accepted")).alias("rejected_matches"))
+
+
+def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.segment(captions.islands(X.timed_words(spark, sf_dir), "doc_id"), "doc_id")
+
+
+def _cues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.cues(_segmented(spark, sf_dir), "doc_id")
+
+
+@query
+def cue_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cues(spark, sf_dir)
+
+
+@query
+def cue_timing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.timed(_cues(spark, sf_dir), "doc_id").select("doc_id", "cue", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
+
+
+def _final(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.wrapped(captions.repair(captions.timed(_cues(spark, sf_dir), "doc_id"), "doc_id"))
+
+
+@query
+def cue_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _final(spark, sf_dir).select("doc_id", "cue", F.round("start", 3).alias("start"), F.round("end", 3).alias("end"))
+
+
+@query
+def srt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.srt_blocks(_final(spark, sf_dir), "doc_id")
+
+
+@query
+def vtt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.vtt_blocks(_final(spark, sf_dir), "doc_id")
+
+
+@query
+def transcript_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return captions.transcript_parts(X.chunks(spark, sf_dir), "book_id").withColumn("chunk_pos", long(F.col("chunk_pos")))
+
+
+@query
+def qc_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of every document taken as a book of one chunk."""
+    parts = X.table(spark, sf_dir, "documents").select("doc_id", F.lit(0).alias("chunk_pos"), F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("id"), (F.col("doc_id") % 3 != 0).alias("surface_restored"))
+    out = captions.report(_final(spark, sf_dir), X.timed_words(spark, sf_dir), parts, "doc_id")
+    return out.withColumns({c: F.round(c, 3) for c in ("first_cue_start", "last_cue_end", "max_cue_duration")}).withColumn("surface_restore_failures", F.array_join("surface_restore_failures", ","))
+
+
+@query
+def surface_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens restored from items: normal forms cut in two; every fourth document lacks its first item."""
+    words = X.timed_words(spark, sf_dir)
+    norm = T.normal_token(F.col("text"))
+    half = F.expr("length(norm) div 2")
+    halves = words.withColumn("norm", norm).where("norm <> ''").select(
+        "doc_id", "pos", F.explode(F.array(
+            F.struct(F.lit(0).alias("k"), F.substring("norm", F.lit(1), half).alias("text"), F.col("start").alias("start"), ((F.col("start") + F.col("end")) / 2).alias("end")),
+            F.struct(F.lit(1).alias("k"), F.substring("norm", half + 1, F.length("norm")).alias("text"), ((F.col("start") + F.col("end")) / 2).alias("start"), F.col("end").alias("end")),
+        )).alias("h")
+    )
+    items = halves.where("h.text <> '' AND NOT (doc_id % 4 = 0 AND pos = 0)").select("doc_id", (F.col("pos") * 2 + F.col("h.k")).alias("pos"), "h.text", "h.start", "h.end")
+    out = surface.restore(words.select("doc_id", "pos", "text"), items, "doc_id")
+    return out.select("doc_id", long(F.col("pos")).alias("pos"), "text", F.round("start", 4).alias("start"), F.round("end", 4).alias("end"), "restored")
+
+
+@query
+def rms_quiet_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values of a user as a signal: windows of four, the quiet one nearest to the fifth."""
+    order = W.partitionBy("user_id").orderBy("event_id")
+    signal = X.table(spark, sf_dir, "events").select("user_id", "value", (F.row_number().over(order) - 1).alias("frame"))
+    levels = chunks.window_rms(signal, ["user_id"], "frame", "value", 4).withColumn("target", F.lit(5.0))
+    found = chunks.quiet_windows(levels, ["user_id"], "target")
+    return found.select("user_id", long(F.col("window")).alias("window"), F.round("threshold", 6).alias("threshold"), "windows")
+
+
+@query
+def chunk_planner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each nation a chapter whose signal is a deterministic wave; frames are 100 a second."""
+    nations = X.table(spark, sf_dir, "nation")
+    size = F.col("n_nationkey") * 4000 + 20_000
+    wave = F.transform(F.sequence(F.lit(0), size - 1), lambda i: (((i * 7919 + F.col("n_nationkey") * 31) % 1000) / 1000.0).cast("float"))
+    chapters = nations.select(F.lit("b").alias("book_id"), F.col("n_nationkey").alias("chapter_id"), F.col("n_name").alias("chapter_title"), F.lit(0).cast("long").alias("start_frame"), size.cast("long").alias("end_frame"), F.lit(100).alias("rate"), wave.alias("samples"))
+    return chunks.plan(chapters)
+
+
+@query
+def seq_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir).select("id", F.round(S.seq_ratio("a_words", "b_words"), 6).alias("similarity"))
+
+
+@query
+def index_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.turn_pairs(spark, sf_dir)
+    return rows.select("book_id", "chunk_pos", F.explode(S.index_map(T.tokens(F.col("a_text")), T.tokens(F.col("b_text")))).alias("m")).select("book_id", "chunk_pos", "m.i", "m.j")
+
+
+@query
+def mechanical_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.turn_pairs(spark, sf_dir).select("book_id", "chunk_pos", S.mechanical_merge("a_text", "b_text").alias("text"))
+
+
+@query
+def valid_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = X.turn_pairs(spark, sf_dir).withColumn("text", F.col("b_text"))
+    return reconcile.valid(rows.select("book_id", "chunk_pos", "text", "a_text", "b_text")).select("book_id", "chunk_pos", "valid")
+
+
+@query
+def consensus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole reconcile stage with a stand-in editor."""
+    from cuelattice.operators.backends import second_candidate
+
+    return reconcile.records(reconcile.consensus(_pairs(spark, sf_dir), second_candidate, "remote:stand-in"), "stand-in")
+
+
+@query
+def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
+
 
+@query
+def verification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as probed media: one stream per line item."""
+    items = X.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
+    return items.select("l_orderkey", F.round(F.col("q") / 10, 3).alias("output_duration"), long(F.col("q")).alias("output_size"), F.col("n").alias("chapter_count"))
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"lexical_counts": lexical_counts}
 
-ORACLES: dict[str, str] = {
-    "lexical_counts": r"""
-        SELECT doc_id, len(t)::BIGINT AS tokens,
-               len(list_filter(list_transform(t, lambda x: regexp_replace(lower(x), '[^a-z0-9]+', '', 'g')), lambda x: x <> ''))::BIGINT AS lexical_words
-        FROM (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> '') AS t FROM documents)""",
-}
+@query
+def incremental_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending documents after a first half was recorded: two runs of the batch form of resume."""
+    docs = X.table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"))
+    first = docs.where("doc_id % 2 = 0")
+    return first.union(records.pending(docs, first, "doc_id"))
