@@ -94,23 +94,23 @@ def _resolved(value: Column, root: str) -> Column:
 
 def described_jobs(jobs: DataFrame, root: str) -> DataFrame:
     """Jobs with defaults, resolved paths and ``violation`` (null if there is none): the first rule that is broken."""
-    empty = lambda c: F.col(c).isNull() | (F.trim(c) == "")
-    broken = lambda c: F.coalesce(F.rlike(F.trim(c), F.lit(r"[\t\r\n]")), F.lit(False))
-    basename = F.coalesce(F.trim("output_basename"), F.trim("id"))
-    times = jobs.groupBy(F.trim("id").alias("_id")).agg(F.count("*").alias("_times"))
-    rows = jobs.join(times, F.trim("id") == F.col("_id"), "left")
+    empty = lambda c: F.col(c).isNull() | (T.strip(F.col(c)) == "")
+    broken = lambda c: F.coalesce(F.rlike(T.strip(F.col(c)), F.lit(r"[\t\r\n]")), F.lit(False))
+    basename = F.coalesce(T.strip(F.col("output_basename")), T.strip(F.col("id")))
+    times = jobs.groupBy(T.strip(F.col("id")).alias("_id")).agg(F.count("*").alias("_times"))
+    rows = jobs.join(times, T.strip(F.col("id")) == F.col("_id"), "left")
     violation = (
         F.when(empty("id"), "id must be a non-empty string")
         .when(broken("id"), "id must not contain tabs or newlines")
-        .when(~F.rlike(F.trim("id"), F.lit(SAFE_NAME)), "id has unsafe characters")
+        .when(~F.rlike(T.strip(F.col("id")), F.lit(SAFE_NAME)), "id has unsafe characters")
         .when(F.col("_times") > 1, "duplicate job id")
         .when(empty("source"), "source must be a non-empty string")
         .when(~F.rlike(basename, F.lit(SAFE_NAME)), "output_basename has unsafe characters")
     )
-    path = lambda c, default: _resolved(F.coalesce(F.trim(c), F.concat(F.lit(default), F.trim("id"))), root)
-    glossary_file = F.when(F.coalesce(F.trim("glossary_file"), F.lit("")) != "", _resolved(F.trim("glossary_file"), root))
+    path = lambda c, default: _resolved(F.coalesce(T.strip(F.col(c)), F.concat(F.lit(default), T.strip(F.col("id")))), root)
+    glossary_file = F.when(F.coalesce(T.strip(F.col("glossary_file")), F.lit("")) != "", _resolved(T.strip(F.col("glossary_file")), root))
     return rows.select(
-        F.trim("id").alias("id"), _resolved(F.trim("source"), root).alias("source"), path("work_dir", "work/").alias("work_dir"),
+        T.strip(F.col("id")).alias("id"), _resolved(T.strip(F.col("source")), root).alias("source"), path("work_dir", "work/").alias("work_dir"),
         path("output_dir", "output/").alias("output_dir"), basename.alias("basename"), glossary_file.alias("glossary"), violation.alias("violation"),
     )
 

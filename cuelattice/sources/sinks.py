@@ -31,12 +31,18 @@ def write_manifest(chunks: DataFrame, path: str, audio: str, target: float = 210
 
 
 def write_blocks(blocks: DataFrame, path: str, book: str, position: str, column: str = "block", head: str | None = None) -> None:
-    """Text files of blocks, one folder for each book, in order of position; ``head`` opens each book."""
+    """Text files of blocks, one folder for each book, in order of position; ``head`` opens each book. Blocks end with a line break."""
     if head:
         top = blocks.select(book).distinct().select(book, F.lit(-1).cast(dict(blocks.dtypes)[position]).alias(position), F.lit(head).alias(column))
         blocks = top.union(blocks.select(book, position, column))
     rows = blocks.select(book, position, column).repartition(book).sortWithinPartitions(book, position)
-    rows.select(book, column).write.mode("overwrite").partitionBy(book).option("lineSep", "").text(path)
+    rows.select(book, F.regexp_replace(column, r"\n\z", "").alias(column)).write.mode("overwrite").partitionBy(book).text(path)
+
+
+def write_transcripts(parts: DataFrame, path: str, book: str) -> None:
+    """One text for each book from its parts (book, chunk_pos, part)."""
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("chunk_pos", "part"))), lambda p: p["part"]), "")
+    parts.groupBy(book).agg(whole.alias("text")).write.mode("overwrite").partitionBy(book).text(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
