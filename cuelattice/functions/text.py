@@ -110,7 +110,7 @@ def frames(seconds: Column, rate: int = 16_000) -> Column:
     return F.rint(seconds * rate).cast("long")
 
 
-def seconds(frame: Column, rate: int = 16_000) -> Column:
+def seconds(frame: Column, rate: int | Column = 16_000) -> Column:
     return F.round(frame / rate, 3)
 
 

@@ -28,9 +28,10 @@ def transcribe(chunks: DataFrame, factory: Callable[[], Recogniser], model: str)
             recognise = recognise or factory()
             found = [recognise(c) for c in frame.to_dict("records")]
             words = [[{"text": t, "start": s, "end": e} for t, s, e in w] for _, w in found]
-            yield frame.assign(text=[t for t, _ in found], words=words)
+            yield frame.drop(columns=["text", "words"], errors="ignore").assign(text=[t for t, _ in found], words=words)
 
-    schema = ", ".join(f"`{n}` {t}" for n, t in chunks.dtypes) + f", text string, words array<{WORD}>"
+    kept = [(n, t) for n, t in chunks.dtypes if n not in ("text", "words")]
+    schema = ", ".join(f"`{n}` {t}" for n, t in kept) + f", text string, words array<{WORD}>"
     rows = chunks.mapInPandas(scan, schema).withColumn("model", F.lit(model))
     timed = F.transform(
         F.filter("words", lambda w: w["start"].isNotNull()),
