@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import zlib
@@ -32,9 +33,11 @@ def partitions(spark: SparkSession) -> int:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; only where it is unset (tests), a temporary one."""
+    """The shared folder of ``spark.checkpoint.dir``; a temporary one only where it is unset and Spark runs in one process."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = getattr(spark.sparkContext, "_cuelattice_scratch", None) or tempfile.mkdtemp(prefix="cuelattice-")
         spark.sparkContext._cuelattice_scratch = found
     return found.rstrip("/")
