@@ -21,6 +21,8 @@ from cuelattice.llm.common import normal_spaces, partitions, whole_text
 
 #: Rows of the sample that looks for hot texts.
 SAMPLE_ROWS = 50_000
+#: Characters of a text that order it; texts with equal heads are ordered by digest and then in full.
+HEAD = 64
 
 
 def hot_texts(docs: DataFrame) -> list[str]:
@@ -40,11 +42,13 @@ def _runs(docs: DataFrame, carry: bool) -> DataFrame:
     hot = hot_texts(docs)
     rows = docs.select("doc_id", *([F.struct("*").alias("row")] if carry else []), normal_spaces(whole_text()).alias("norm"))
     rows = rows.withColumn("sha", F.sha2(F.col("norm").cast("binary"), 256)).withColumn("hot", F.col("sha").isin(hot) if hot else F.lit(False))
+    # splitters sampled for the driver are heads and digests, not whole texts; the spread is no key where nothing is hot
+    keys = ["head", "sha", *(["part"] if hot else [])]
     spread = F.when(F.col("hot"), F.xxhash64("doc_id")).otherwise(F.lit(0))
-    ranges = rows.withColumn("part", spread).repartitionByRange(partitions(docs.sparkSession), "norm", "part")
-    run = W.partitionBy("norm", "part")
+    ranges = rows.withColumn("head", F.substring("norm", 1, HEAD)).withColumn("part", spread).repartitionByRange(partitions(docs.sparkSession), *keys)
+    run = W.partitionBy("norm", *keys)
     ordered = run.orderBy(F.col("doc_id").asc_nulls_last())
-    runs = ranges.withColumn("rn", F.row_number().over(ordered)).withColumn("first_id", F.first("doc_id").over(ordered)).withColumn("n", F.count("*").over(run)).drop("norm")
+    runs = ranges.withColumn("rn", F.row_number().over(ordered)).withColumn("first_id", F.first("doc_id").over(ordered)).withColumn("n", F.count("*").over(run)).drop("norm", "head")
     if hot:
         known = rows.where("hot").groupBy(F.col("sha").alias("hot_sha")).agg(F.min("doc_id").alias("hot_id"), F.count("*").alias("hot_n"))
         runs = (
