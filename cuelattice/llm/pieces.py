@@ -3,9 +3,9 @@
 The vocabulary is a public merge-type model; its pieces and scores come from the
 sentencepiece library. A text is parted before each run of the space mark, which no
 piece crosses. In a part, an agenda holds the adjacent symbols that make a piece,
-best score first, then leftmost; each candidate that is popped is skipped when its
-keyed hash falls below the dropout rate, else the symbols are joined in a linked
-list. The key is the seed, one of ``variants`` drawn from document and place of the
+best score first, then leftmost; each candidate that is taken is skipped when its
+keyed hash falls below the dropout rate, else the symbols are joined. The agenda of
+a long part is a heap over a linked list. The key is the seed, one of ``variants`` drawn from document and place of the
 part, the place in the part and the pair: a document has the same segmentation in
 every run and retry, another seed gives another one, and equal parts of one variant
 are worked out once per worker. Characters without a piece become byte pieces, so
@@ -18,6 +18,8 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +27,36 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cuelattice.llm.bpe import Memo
 from cuelattice.llm.common import arrow_batches, crc32
 
 SPACE = "▁"
 PARTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _M1, _M2, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
+#: Characters of a part whose agenda is a list, and the rank of what is no piece.
+SHORT, _NONE = 48, 1 << 40
+#: Parts of one generation of a worker's memo, over all variants; there are two generations.
+KNOWN = 700_000
+
+
+class _Known(dict):
+    """Segmentations of one variant; when the generation is full, the one before it goes."""
+
+    def __init__(self, work, variant: int, entries: int):
+        super().__init__()
+        self.work, self.variant, self.entries, self.old = work, variant, entries, {}
+
+    def __missing__(self, part: str) -> bytes:
+        x = self.old.get(part)
+        if x is None:
+            x = self.work(part, self.variant)
+        if len(part) <= 64:
+            if len(self) >= self.entries:
+                self.old = dict(self)
+                self.clear()
+            self[part] = x
+        return x
+
 
 class Segmenter:
     """Encoder and decoder of one ``.model`` file."""
@@ -61,39 +86,62 @@ class Segmenter:
         self.mark = b"".join(struct.pack("<I", self.bytes[b]) for b in SPACE.encode())
         self.prefix = library.normalize("a") != "a"
         self.dropout, self.seed, self.variants = int(dropout * (1 << 32)), seed, variants if dropout > 0 else 1
-        self.memos = [Memo(400_000 // self.variants) for _ in range(self.variants)]
+        self.known = [_Known(self.part, v, KNOWN // self.variants) for v in range(self.variants)]
 
     def part(self, text: str, variant: int) -> bytes:
         """Identifiers (four bytes each, little-endian) of one part."""
-        symbols = list(text)
-        n = len(symbols)
+        key = xxhash.xxh64_intdigest(text.encode("utf-8"), (self.seed * 1_000_003 + variant) & _MASK) if self.dropout else 0
+        symbols = self.short(text, key) if len(text) <= SHORT else self.long(text, key)
+        out: list[int] = []
+        for piece in symbols:
+            found = self.ids.get(piece)
+            if found is not None:
+                out.append(found)
+            else:
+                out += [self.bytes[b] for b in piece.encode("utf-8")]
+        return struct.pack(f"<{len(out)}I", *out)
+
+    def short(self, text: str, key: int) -> list[str]:
+        """Symbols of a short part. The agenda is the list of its pairs' ranks: searching it costs less than a heap."""
         rank_of, by_rank, dropout = self.ranks.get, self.by_rank, self.dropout
-        key = xxhash.xxh64_intdigest(text.encode("utf-8"), (self.seed * 1_000_003 + variant) & _MASK) if dropout else 0
-        agenda = [r << 32 | i for i in range(n - 1) if (r := rank_of(symbols[i] + symbols[i + 1])) is not None]
+        symbols, starts = list(text), list(range(len(text)))
+        ranks = list(map(rank_of, map(add, text, text[1:]), repeat(_NONE)))
+        while ranks and (r := min(ranks)) != _NONE:
+            i = ranks.index(r)
+            # the keyed hash of this candidate, rank and place
+            if dropout and (key ^ (r << 32 | starts[i]) * _M1 & _MASK) * _M2 >> 32 & 0xFFFFFFFF < dropout:
+                ranks[i] = _NONE
+                continue
+            symbols[i] = new = by_rank[r]
+            del symbols[i + 1], starts[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank_of(new + symbols[i + 1], _NONE)
+            if i:
+                ranks[i - 1] = rank_of(symbols[i - 1] + new, _NONE)
+        return symbols
+
+    def long(self, text: str, key: int) -> list[str]:
+        """Symbols of a long part, by a heap and a linked list; a symbol is a span [i, end[i]), end 0 if joined to the left."""
+        n, rank_of, dropout = len(text), self.ranks.get, self.dropout
+        agenda = [r << 32 | i for i in range(n - 1) if (r := rank_of(text[i : i + 2])) is not None]
         heapq.heapify(agenda)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
         while agenda:
             entry = heapq.heappop(agenda)
-            i, r = entry & 0xFFFFFFFF, entry >> 32
-            if not symbols[i] or (j := after[i]) >= n or symbols[i] + symbols[j] != by_rank[r]:
+            i = entry & 0xFFFFFFFF
+            j = end[i]
+            if not j or j >= n or rank_of(text[i : (k := end[j])]) != entry >> 32:
                 continue  # one of the two has been joined since
-            # the keyed hash of this candidate, rank and place
             if dropout and (key ^ entry * _M1 & _MASK) * _M2 >> 32 & 0xFFFFFFFF < dropout:
                 continue
-            symbols[i], symbols[j] = by_rank[r], ""
-            after[i] = k = after[j]
+            end[i], end[j] = k, 0
             if k < n:
                 before[k] = i
-                if (r := rank_of(symbols[i] + symbols[k])) is not None:
+                if (r := rank_of(text[i : end[k]])) is not None:
                     heapq.heappush(agenda, r << 32 | i)
-            if (h := before[i]) >= 0 and (r := rank_of(symbols[h] + symbols[i])) is not None:
+            if (h := before[i]) >= 0 and (r := rank_of(text[h:k])) is not None:
                 heapq.heappush(agenda, r << 32 | h)
-        out: list[int] = []
-        for s in symbols:
-            if s:
-                i = self.ids.get(s)
-                out += [i] if i is not None else [self.bytes[b] for b in s.encode("utf-8")]
-        return struct.pack(f"<{len(out)}I", *out)
+        return [text[i : end[i]] for i in range(n) if end[i]]
 
     def encode(self, text: str, key: str = "") -> bytes:
         """Identifiers of a whole text. ``key`` (its document) draws the variants."""
@@ -113,14 +161,8 @@ class Segmenter:
                 start = xxhash.xxh64_intdigest(f"{key}/{k}", self.seed & _MASK)
                 h = (np.arange(len(parts), dtype=np.uint64) + np.uint64(start)) * np.uint64(_M1)
                 drawn = ((h ^ (h >> np.uint64(32))) % np.uint64(self.variants)).tolist()
-            for part, v in zip(parts, drawn):
-                memo = self.memos[v]
-                x = memo.new.get(part)
-                if x is None:
-                    if (x := memo.old.get(part)) is None:
-                        x = self.part(part, v)
-                    memo.keep(part, x)
-                out.append(x)
+            known = self.known
+            out += [known[v][part] for part, v in zip(parts, drawn)]
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
