@@ -20,13 +20,14 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node's larger neighbours are linked to the least of its neighbourhood."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("m"))
+    least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("m")), "least")
+    # both sides are dealt for the join alone, so that the rows of a hub can be split
     return both.where("v > u").join(least, F.col("u") == F.col("node")).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours are linked to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), "m")
+    least = materialise(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")), "least")
     across = edges.join(least, F.col("u") == F.col("node")).where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return across.union(least.select(F.col("node").alias("u"), F.col("m").alias("v"))).distinct()
 
@@ -44,7 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         if not state[0]:
             break
-        now = materialise(_small_star(_large_star(now)), "edges")
+        now = materialise(_small_star(materialise(_large_star(now), "edges")), "edges")
         last, state = state, _state(now)
         if state == last:
             break
