@@ -8,9 +8,9 @@ spans short ranges of all of them and min/max statistics prune files.
 
 The global position of a row is a counting sort, not one sorted partition: rows
 are counted by (cell, sub), where ``sub`` is a hash of the identifier that splits
-cells which a hot source fills; counts are summed along the curve in two levels
-(at most 1,024 stretches, then the cells of one stretch), and rows are numbered
-within (cell, sub). Only identifier, size, checksum and cell are shuffled, never
+cells which a hot source fills; counts are summed along the curve in three levels
+(at most 4,096 stretches, the cells of one stretch, the subs of one cell), and rows
+are numbered within (cell, sub). Only identifier, size, checksum and cell are shuffled, never
 texts. All of it is DataFrame functions.
 """
 
@@ -25,7 +25,7 @@ from cuelattice.llm.common import partitions, whole_text
 #: Bits of each dimension; four dimensions make 2^20 cells.
 BITS = 5
 #: Stretches of the curve in the first level of the sums.
-STRETCH_BITS = 10
+STRETCH_BITS = 12
 
 
 def order_number(column: str, kind: str) -> Column:
@@ -87,16 +87,17 @@ def shard(docs: DataFrame, shards: int = 16, dimensions: tuple[str, ...] = ("sou
         "cell",
         F.pmod(F.xxhash64("doc_id"), F.lit(subs)).alias("sub"),
     )
-    counts = rows.groupBy("cell", "sub").agg(F.count("*").alias("n")).withColumn("stretch", F.shiftright("cell", shift))
-    along = W.partitionBy("stretch").orderBy("cell", "sub").rowsBetween(W.unboundedPreceding, -1)
-    inner = counts.withColumn("inner", F.coalesce(F.sum("n").over(along), F.lit(0)))
+    counts = rows.groupBy("cell", "sub").agg(F.count("*").alias("n"))
+    in_cells = counts.groupBy("cell").agg(F.sum("n").alias("n")).withColumn("stretch", F.shiftright("cell", shift))
+    before = lambda *by: F.coalesce(F.sum("n").over(W.partitionBy(by[0]).orderBy(by[1]).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     whole = W.orderBy("stretch")  # at most 2^STRETCH_BITS rows
     starts = (
-        counts.groupBy("stretch")
+        in_cells.groupBy("stretch")
         .agg(F.sum("n").alias("n"))
         .select("stretch", (F.sum("n").over(whole) - F.col("n")).alias("start"), F.sum("n").over(whole.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).alias("total"))
     )
-    offsets = inner.join(starts, "stretch").select("cell", "sub", (F.col("inner") + F.col("start")).alias("base"), "total")
+    by_cell = in_cells.select("cell", "stretch", before("stretch", "cell").alias("inner")).join(starts, "stretch").select("cell", (F.col("inner") + F.col("start")).alias("start"), "total")
+    offsets = counts.select("cell", "sub", before("cell", "sub").alias("inner")).join(by_cell, "cell").select("cell", "sub", (F.col("inner") + F.col("start")).alias("base"), "total")
     placed = (
         rows.withColumn("rn", F.row_number().over(W.partitionBy("cell", "sub").orderBy("doc_id", "text_crc32", "size")))
         .join(offsets, ["cell", "sub"])
