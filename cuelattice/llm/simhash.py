@@ -11,14 +11,15 @@ ball of radius 1 instead, since two fingerprints are at distance 2 or less exact
 if these balls meet, and no point lies in more than 65 of them. So links are exact
 and rows stay in proportion to the fingerprints.
 
-Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8). There the
-fingerprint has 256 bits over word pairs in eight segments; the same enumeration
-proposes candidates, each key links its members to its densest one, and a candidate
-counts only if the five-word shingle sets really reach the similarity.
+Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8) are found by a
+prefix filter: in one order of all shingles, with frequent ones last, similar texts share
+a shingle among the first fifth of theirs. Members of a shingle are candidates if they
+share enough of these, and are verified on their full shingle sets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import accumulate
 
@@ -151,36 +152,72 @@ def groups(docs: DataFrame, size: int = 3) -> DataFrame:
     return marked.join(known, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Word pairs, four blocks of 64 bits; differing bits of a candidate beyond which its similarity is not worked out.
-PAIR, BLOCKS, FAR = 2, 4, 44
+#: Shingles that count as frequent: documents that are sampled, times one is met among them, and how many are kept.
+SAMPLED, OFTEN, FREQUENT = 100_000, 3, 500_000
 
 
-def candidates(marked: DataFrame, blocks: int = BLOCKS, far: int = FAR) -> DataFrame:
-    """Distinct (u, v) that may be similar, from rows (doc_id, fp0 ..) of unique doc_ids.
+def frequent(docs: DataFrame, size: int) -> np.ndarray:
+    """Hashes (ascending) of shingles that many of the sampled documents hold, at most FREQUENT of them."""
 
-    Every row emits the ball around each 32-bit segment. A key's members are not
-    paired off: each is linked to the densest of them, the one whose keys have the most
-    members in all, which in a group of copies is the text that the others were made
-    from. So rows stay in proportion to the documents.
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(shingle_hashes(words(t or ""), size)) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["key"])
+
+    arrow_batches(docs.sparkSession)
+    one_in = max(1, docs.count() // SAMPLED)
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text").mapInArrow(scan, "key long")
+    often = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "key").limit(FREQUENT)
+    return np.sort(often.select("key").toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def prefixes(docs: DataFrame, size: int, similar: float) -> DataFrame:
+    """doc_id, n, prefix: the number of a text's shingles and the first of them in one order of all shingles.
+
+    Texts of Jaccard similarity ``similar`` share a shingle of their prefixes, whatever
+    the order is. Frequent shingles come last, so prefixes hold rare ones.
     """
-    fps = [F.col(f"fp{t}") for t in range(blocks)]
-    keys = F.concat(*[_keys(half(fp), s) for s, (half, fp) in enumerate((h, fp) for fp in fps for h in (low, high))])
-    entries = marked.select("doc_id", F.explode(keys).alias("key"))
-    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialise(entries.join(sizes, "key"), "shared")
-    weight = shared.groupBy("doc_id").agg(F.sum("n").alias("weight"))
-    weighed = shared.join(weight, "doc_id")
-    hubs = weighed.groupBy(F.col("key").alias("hub_key")).agg(F.max(F.struct(F.col("weight"), (-F.col("doc_id")).alias("minus"))).alias("hub"))
-    pairs = shared.join(hubs.select("hub_key", (-F.col("hub.minus")).alias("hub")), F.col("key") == F.col("hub_key")).where("doc_id <> hub")
-    pairs = pairs.select(F.greatest("doc_id", "hub").alias("u"), F.least("doc_id", "hub").alias("v")).distinct()
-    side = lambda at: marked.select(F.col("doc_id").alias(at), *[F.col(f"fp{t}").alias(f"{at}{t}") for t in range(blocks)])
-    both = pairs.join(side("u"), "u").join(side("v"), "v")
-    apart = sum((distance(F.col(f"u{t}"), F.col(f"v{t}")) for t in range(blocks)), F.lit(0))
-    return both.where(apart <= far).select("u", "v")
+    late = docs.sparkSession.sparkContext.broadcast(frequent(docs, size))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = late.value
+        for batch in batches:
+            sizes, found = [], []
+            for t in batch.column(1).to_pylist():
+                h = np.unique(shingle_hashes(words(t or ""), size))
+                if len(often):
+                    at = np.minimum(np.searchsorted(often, h), len(often) - 1)
+                    h = h[np.argsort(often[at] == h, kind="stable")]
+                sizes.append(len(h))
+                found.append(h[: prefix_length(len(h), similar)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "n", "prefix"])
+
+    arrow_batches(docs.sparkSession)
+    kind = dict(docs.dtypes)["doc_id"]
+    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n int, prefix array<long>")
 
 
-def _keys(segment: Column, number: int) -> Column:
-    return F.transform(ball(segment), lambda k: k.bitwiseOR(F.lit(number << 32)))
+def prefix_length(n: int, similar: float) -> int:
+    return n - math.ceil(similar * n - 1e-9) + 1 if n else 0
+
+
+def _enough(pairs: DataFrame, similar: float) -> DataFrame:
+    """(u, v) of rows (u, v, u_n, v_n), one for each shared shingle of the prefixes, that share enough of them.
+
+    Up to the prefix that ends first, all common shingles are in both prefixes; later
+    ones are in the rest of that text, which has similar x n shingles less one.
+    """
+    rest = F.greatest(*[F.ceil(F.lit(similar) * F.col(n) - 1e-9) for n in ("u_n", "v_n")]) - 1
+    need = F.lit(similar / (1 + similar)) * (F.col("u_n") + F.col("v_n")) - 1e-6
+    counted = pairs.where(F.least("u_n", "v_n") >= F.lit(similar) * F.greatest("u_n", "v_n") - 1e-9)
+    return counted.groupBy("u", "v", "u_n", "v_n").agg(F.count("*").alias("common")).where(F.col("common") + rest >= need).select("u", "v")
+
+
+def hub_pairs(shared: DataFrame, similar: float) -> DataFrame:
+    """(u, v) that may be similar: each key's members (doc_id, n, key) with the key's least doc_id."""
+    hubs = shared.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n")).alias("hub"))
+    both = shared.join(hubs, "key").where("doc_id <> hub.id")
+    return _enough(both.select(F.col("doc_id").alias("u"), F.col("hub.id").alias("v"), F.col("n").alias("u_n"), F.col("hub.n").alias("v_n")), similar)
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
@@ -196,14 +233,8 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, shingles binary")
 
 
-def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
-    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``."""
-    marked = prints(docs.where(F.col("doc_id").isNotNull()), PAIR, BLOCKS)
-    blank = F.lit(True)
-    for t in range(BLOCKS):
-        blank = blank & (F.col(f"fp{t}") == 0)
-    marked = materialise(marked.where(~blank).dropDuplicates(["doc_id"]), "prints")
-    pairs = materialise(candidates(marked), "candidates")
+def verified(docs: DataFrame, pairs: DataFrame, size: int, similar: float) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets reach the similarity."""
     wanted = pairs.select(F.col("u").alias("want_id")).union(pairs.select("v")).distinct()
     sets = materialise(shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("want_id"), "left_semi"), size).dropDuplicates(["doc_id"]), "sets")
     side = lambda at: sets.select(F.col("doc_id").alias(at), F.col("shingles").alias(f"{at}_set"))
@@ -219,9 +250,20 @@ def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataF
             yield kept.select(["u", "v"])
 
     kind = dict(docs.dtypes)["doc_id"]
+    arrow_batches(docs.sparkSession)
     return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(scan, f"u {kind}, v {kind}")
 
 
+def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
+    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``."""
+    known = docs.where(F.col("doc_id").isNotNull())
+    marked = materialise(prefixes(known, size, similar).where("n > 0").dropDuplicates(["doc_id"]), "prefixes")
+    entries = marked.select("doc_id", "n", F.explode("prefix").alias("key"))
+    sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = materialise(entries.join(sizes, "key"), "shared")
+    return verified(known, materialise(hub_pairs(shared, similar), "candidates"), size, similar)
+
+
 def drop_near(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each group of similar texts, the smallest doc_id.
 

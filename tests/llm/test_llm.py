@@ -412,3 +412,29 @@ def test_pipeline(spark, docs, tmp_path):
         assert frame.count() <= before
         before = frame.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= before
+
+
+def edited(rng, base, kind, share):
+    """The words of ``base``, with about that share of them new."""
+    n = max(1, round(len(base) * share))
+    if kind == "appended":
+        return base + words(rng, n)
+    if kind == "replaced":
+        return base[: len(base) - n] + words(rng, n)
+    at = set(rng.sample(range(len(base)), max(1, n // 5)))
+    return [words(rng, 1)[0] if i in at else w for i, w in enumerate(base)]
+
+
+def test_near_pairs_by_similarity_and_kind_of_edit(spark):
+    rng = random.Random(21)
+    texts = []
+    for kind in ("appended", "replaced", "scattered"):
+        for _ in range(80):
+            base = words(rng, rng.randint(30, 250))
+            texts += [" ".join(base), " ".join(edited(rng, base, kind, rng.uniform(0.02, 0.26)))]
+    sets = [shingles(t) for t in texts]
+    known = lambda i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1])
+    want = {(i + 1, i): known(i) for i in range(0, len(texts), 2) if known(i) >= 0.8}
+    assert sum(x < 0.85 for x in want.values()) >= 20
+    got = {(r.u, r.v) for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == set(want)
