@@ -14,7 +14,10 @@ and rows stay in proportion to the fingerprints.
 Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8) are found by a
 prefix filter: in one order of all shingles, with frequent ones last, similar texts share
 a shingle among the first fifth of theirs. Members of a shingle are candidates if they
-share enough of these, and are verified on their full shingle sets.
+share enough of these, and are verified on their full shingle sets. First each shingle
+links its members to one of them, which joins groups of copies in rows in proportion to
+the documents; then all its members that are not yet joined are paired off, so that
+the groups are exact.
 """
 
 from __future__ import annotations
@@ -220,6 +223,17 @@ def hub_pairs(shared: DataFrame, similar: float) -> DataFrame:
     return _enough(both.select(F.col("doc_id").alias("u"), F.col("hub.id").alias("v"), F.col("n").alias("u_n"), F.col("hub.n").alias("v_n")), similar)
 
 
+def open_pairs(shared: DataFrame, roots: DataFrame, similar: float) -> DataFrame:
+    """(u, v) that may be similar and are not joined yet: all pairs of each key's members with different roots (node, root)."""
+    rooted = shared.join(roots, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
+    parted = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other").select("key")
+    left = materialise(rooted.join(parted, "key"), "open")
+    side = lambda at: left.select("key", F.col("doc_id").alias(at), F.col("n").alias(f"{at}_n"), F.col("root").alias(f"{at}_root"))
+    # a sort-merge join streams a crowded key, and adaptive execution splits it
+    both = side("u").join(side("v").hint("merge"), "key").where("u > v AND u_root <> v_root")
+    return _enough(both.select("u", "v", "u_n", "v_n"), similar)
+
+
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     """doc_id, shingles: the distinct hashes (32 bits each, ascending) of the text's word shingles."""
 
@@ -255,13 +269,18 @@ def verified(docs: DataFrame, pairs: DataFrame, size: int, similar: float) -> Da
 
 
 def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
-    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``."""
+    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``.
+
+    Every such pair is in the result or joined by a path of others that are.
+    """
     known = docs.where(F.col("doc_id").isNotNull())
     marked = materialise(prefixes(known, size, similar).where("n > 0").dropDuplicates(["doc_id"]), "prefixes")
     entries = marked.select("doc_id", "n", F.explode("prefix").alias("key"))
     sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(entries.join(sizes, "key"), "shared")
-    return verified(known, materialise(hub_pairs(shared, similar), "candidates"), size, similar)
+    to_hubs = materialise(verified(known, materialise(hub_pairs(shared, similar), "candidates"), size, similar), "to-hubs")
+    further = materialise(open_pairs(shared, components(to_hubs), similar), "further")
+    return to_hubs.union(verified(known, further, size, similar))
 
 
 def drop_near(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:

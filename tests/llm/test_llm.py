@@ -438,3 +438,26 @@ def test_near_pairs_by_similarity_and_kind_of_edit(spark):
     assert sum(x < 0.85 for x in want.values()) >= 20
     got = {(r.u, r.v) for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == set(want)
+
+
+def test_near_pairs_whose_shingles_others_hold_too(spark):
+    rng = random.Random(22)
+    texts = []
+    for _ in range(12):
+        p, q, x, y = (words(rng, 120) for _ in range(4))
+        near = p[:-6] + words(rng, 12) + x[6:]  # p and x part at the edit
+        texts += [" ".join(t) for t in (p + q, x + y, p + x, near)]
+    hot = words(rng, 60)
+    for _ in range(40):  # a crowd around one text, in part too far from it
+        texts.append(" ".join(edited(rng, hot, "replaced", rng.uniform(0.05, 0.3))))
+    want, got = Sets(), Sets()
+    sets = [shingles(t) for t in texts]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                want.join(i, j)
+    for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        assert len(sets[r.u] & sets[r.v]) >= 0.8 * len(sets[r.u] | sets[r.v])
+        got.join(r.u, r.v)
+    assert [want.find(i) for i in range(len(texts))] == [got.find(i) for i in range(len(texts))]
+    assert all(want.find(i + 3) == i + 2 for i in range(0, 48, 4))
