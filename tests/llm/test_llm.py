@@ -461,3 +461,20 @@ def test_near_pairs_whose_shingles_others_hold_too(spark):
         got.join(r.u, r.v)
     assert [want.find(i) for i in range(len(texts))] == [got.find(i) for i in range(len(texts))]
     assert all(want.find(i + 3) == i + 2 for i in range(0, 48, 4))
+
+
+def found_words(spark, texts):
+    found = collections.defaultdict(set)
+    for r in passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
+        found[r.doc_id].update(range(r.passage_start, r.passage_end))
+    return found
+
+
+def test_passages_that_a_document_repeats(spark):
+    rng = random.Random(23)
+    p = words(rng, 60)
+    later = [words(rng, 40) + p + words(rng, 80) + p + words(rng, 10) + p for _ in range(4)]
+    found = found_words(spark, [" ".join(t) for t in [p + words(rng, 50), *later]])
+    places = {i for a in (40, 180, 250) for i in range(a, a + 60)}
+    for d in range(1, 5):
+        assert len(found[d] & places) >= 0.97 * len(places) and len(found[d] - places) <= 6, d
