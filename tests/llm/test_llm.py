@@ -473,8 +473,24 @@ def found_words(spark, texts):
 def test_passages_that_a_document_repeats(spark):
     rng = random.Random(23)
     p = words(rng, 60)
-    later = [words(rng, 40) + p + words(rng, 80) + p + words(rng, 10) + p for _ in range(4)]
+    # distances differ, or two copies and the words between them would be one similar passage
+    later = [words(rng, 40) + p + words(rng, 80 + 7 * d) + p + words(rng, 10 + 5 * d) + p for d in range(4)]
     found = found_words(spark, [" ".join(t) for t in [p + words(rng, 50), *later]])
-    places = {i for a in (40, 180, 250) for i in range(a, a + 60)}
     for d in range(1, 5):
+        places = {i for a in (40, 173 + 7 * d, 238 + 12 * d) for i in range(a, a + 60)}
         assert len(found[d] & places) >= 0.97 * len(places) and len(found[d] - places) <= 6, d
+
+
+@pytest.mark.parametrize("lines, size", [(3, 20), (4, 15), (6, 10)])
+def test_passages_of_lines_with_other_first_holders(spark, lines, size):
+    rng = random.Random(24)
+    early, late = [], []
+    for _ in range(25):
+        p = [words(rng, size) for _ in range(lines)]
+        early += [words(rng, 30) + line + words(rng, 30) for line in p]
+        early += [words(rng, 30) + a + b + words(rng, 30) for a, b in zip(p, p[1:])]
+        late += [words(rng, 40) + sum(p, []) + words(rng, 40) for _ in range(2)]
+    found = found_words(spark, [" ".join(t) for t in early + late])
+    whole = set(range(40, 40 + lines * size))
+    for d in range(len(early) + 1, len(early) + len(late), 2):
+        assert len(found[d] & whole) >= 0.95 * len(whole), d
