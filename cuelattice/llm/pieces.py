@@ -5,11 +5,12 @@ sentencepiece library. A text is parted before each run of the space mark, which
 piece crosses. In a part, an agenda holds the adjacent symbols that make a piece,
 best score first, then leftmost; each candidate that is taken is skipped when its
 keyed hash falls below the dropout rate, else the symbols are joined. The agenda of
-a long part is a heap over a linked list. The key is the seed, one of ``variants`` drawn from document and place of the
-part, the place in the part and the pair: a document has the same segmentation in
-every run and retry, another seed gives another one, and equal parts of one variant
-are worked out once per worker. Characters without a piece become byte pieces, so
-whatever was skipped, the identifiers decode to the text.
+a long part is a heap over a linked list. The key is drawn from the seed, the document
+and the place of the part, so every occurrence of a word meets skips of its own, and a
+document has the same segmentation in every run and retry. What candidates follow which
+skips does not depend on keys: a worker keeps that for short parts, and an occurrence
+only draws. Characters without a piece become byte pieces, so whatever was skipped, the
+identifiers decode to the text.
 """
 
 from __future__ import annotations
@@ -35,33 +36,41 @@ _M1, _M2, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
 #: Characters of a part whose agenda is a list, and the rank of what is no piece.
 SHORT, _NONE = 48, 1 << 40
-#: Parts of one generation of a worker's memo, over all variants; there are two generations.
-KNOWN = 700_000
+#: Nodes that a worker keeps; there are two generations.
+KNOWN = 300_000
+
+
+class _Node:
+    """A part after some skips: the candidates that follow while none more is skipped, and the identifiers they end in."""
+
+    __slots__ = ("text", "skips", "agenda", "ids", "after")
+
+    def __init__(self, text: str, skips: tuple[int, ...], agenda: np.ndarray, ids: bytes):
+        self.text, self.skips, self.agenda, self.ids = text, skips, agenda, ids
+        self.after: dict[int, _Node] = {}  # by the candidate that is skipped next
 
 
 class _Known(dict):
-    """Segmentations of one variant; when the generation is full, the one before it goes."""
+    """First nodes of parts; when the generation is full of nodes, the one before it goes."""
 
-    def __init__(self, work, variant: int, entries: int):
+    def __init__(self, work):
         super().__init__()
-        self.work, self.variant, self.entries, self.old = work, variant, entries, {}
-
-    def __missing__(self, part: str) -> bytes:
-        x = self.old.get(part)
-        if x is None:
-            x = self.work(part, self.variant)
-        if len(part) <= 64:
-            if len(self) >= self.entries:
-                self.old = dict(self)
-                self.clear()
-            self[part] = x
+        self.work, self.old, self.nodes = work, {}, 0
+
+    def __missing__(self, part: str) -> _Node:
+        x = self.old.get(part) or self.work(part, ())
+        if self.nodes >= KNOWN:
+            self.old, self.nodes = dict(self), 0
+            self.clear()
+        self[part] = x
+        self.nodes += 1
         return x
 
 
 class Segmenter:
     """Encoder and decoder of one ``.model`` file."""
 
-    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4):
+    def __init__(self, path: str, dropout: float = 0.1, seed: int = 0):
         import sentencepiece
 
         self.library = library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -85,13 +94,11 @@ class Segmenter:
             self.meaning[i] = bytes([value])
         self.mark = b"".join(struct.pack("<I", self.bytes[b]) for b in SPACE.encode())
         self.prefix = library.normalize("a") != "a"
-        self.dropout, self.seed, self.variants = int(dropout * (1 << 32)), seed, variants if dropout > 0 else 1
-        self.known = [_Known(self.part, v, KNOWN // self.variants) for v in range(self.variants)]
+        self.dropout, self.seed = int(dropout * (1 << 32)), seed
+        self.known = _Known(self.node)
 
-    def part(self, text: str, variant: int) -> bytes:
-        """Identifiers (four bytes each, little-endian) of one part."""
-        key = xxhash.xxh64_intdigest(text.encode("utf-8"), (self.seed * 1_000_003 + variant) & _MASK) if self.dropout else 0
-        symbols = self.short(text, key) if len(text) <= SHORT else self.long(text, key)
+    def packed(self, symbols: list[str]) -> bytes:
+        """Identifiers (four bytes each, little-endian) of symbols."""
         out: list[int] = []
         for piece in symbols:
             found = self.ids.get(piece)
@@ -101,15 +108,23 @@ class Segmenter:
                 out += [self.bytes[b] for b in piece.encode("utf-8")]
         return struct.pack(f"<{len(out)}I", *out)
 
-    def short(self, text: str, key: int) -> list[str]:
-        """Symbols of a short part. The agenda is the list of its pairs' ranks: searching it costs less than a heap."""
-        rank_of, by_rank, dropout = self.ranks.get, self.by_rank, self.dropout
+    def node(self, text: str, skips: tuple[int, ...]) -> _Node:
+        symbols, agenda = self.short(text, skips)
+        since = skips[-1] + 1 if skips else 0
+        return _Node(text, skips, np.array(agenda[since:], dtype=np.uint64), self.packed(symbols))
+
+    def short(self, text: str, skips: tuple[int, ...] = ()) -> tuple[list[str], list[int]]:
+        """Symbols of a short part and its candidates in order, of which those numbered ``skips`` are skipped.
+
+        The agenda is the list of its pairs' ranks: searching it costs less than a heap.
+        """
+        rank_of, by_rank, met = self.ranks.get, self.by_rank, []
         symbols, starts = list(text), list(range(len(text)))
         ranks = list(map(rank_of, map(add, text, text[1:]), repeat(_NONE)))
         while ranks and (r := min(ranks)) != _NONE:
             i = ranks.index(r)
-            # the keyed hash of this candidate, rank and place
-            if dropout and (key ^ (r << 32 | starts[i]) * _M1 & _MASK) * _M2 >> 32 & 0xFFFFFFFF < dropout:
+            met.append(r << 32 | starts[i])
+            if len(met) - 1 in skips:
                 ranks[i] = _NONE
                 continue
             symbols[i] = new = by_rank[r]
@@ -118,7 +133,7 @@ class Segmenter:
                 ranks[i] = rank_of(new + symbols[i + 1], _NONE)
             if i:
                 ranks[i - 1] = rank_of(symbols[i - 1] + new, _NONE)
-        return symbols
+        return symbols, met
 
     def long(self, text: str, key: int) -> list[str]:
         """Symbols of a long part, by a heap and a linked list; a symbol is a span [i, end[i]), end 0 if joined to the left."""
@@ -144,7 +159,7 @@ class Segmenter:
         return [text[i : end[i]] for i in range(n) if end[i]]
 
     def encode(self, text: str, key: str = "") -> bytes:
-        """Identifiers of a whole text. ``key`` (its document) draws the variants."""
+        """Identifiers of a whole text. ``key`` (its document) draws what is skipped."""
         out: list[bytes] = []
         for k, piece in enumerate(text.split(SPACE)):  # a space mark in the text itself is written as bytes
             if k:
@@ -154,17 +169,38 @@ class Segmenter:
                 normal = normal[len(SPACE) :]
             elif not piece and not k and self.prefix and text:
                 normal = SPACE
-            parts = PARTS.findall(normal)
-            if self.variants == 1:
-                drawn = [0] * len(parts)
-            else:
-                start = xxhash.xxh64_intdigest(f"{key}/{k}", self.seed & _MASK)
-                h = (np.arange(len(parts), dtype=np.uint64) + np.uint64(start)) * np.uint64(_M1)
-                drawn = ((h ^ (h >> np.uint64(32))) % np.uint64(self.variants)).tolist()
-            known = self.known
-            out += [known[v][part] for part, v in zip(parts, drawn)]
+            out += self.drawn(PARTS.findall(normal), xxhash.xxh64_intdigest(f"{key}/{k}", self.seed & _MASK))
         return b"".join(out)
 
+    def drawn(self, parts: list[str], start: int) -> list[bytes]:
+        """Identifiers of each part; part i draws by the i-th key from ``start`` on."""
+        keys = (np.arange(len(parts), dtype=np.uint64) + np.uint64(start)) * np.uint64(_M1)
+        keys = (keys ^ keys >> np.uint64(30)) * np.uint64(_M2)
+        keys ^= keys >> np.uint64(27)
+        known = self.known
+        nodes = [known[p] if len(p) <= SHORT else None for p in parts]
+        out = [b"" if n is None else n.ids for n in nodes]
+        for i in (i for i, n in enumerate(nodes) if n is None):
+            out[i] = self.packed(self.long(parts[i], int(keys[i])))
+        now = [i for i, n in enumerate(nodes) if n is not None] if self.dropout else []
+        while now:  # each round, the parts that met one more skip
+            sizes = np.array([len(nodes[i].agenda) for i in now])
+            ends = np.cumsum(sizes)
+            x = np.concatenate([nodes[i].agenda for i in now]) * np.uint64(_M1)
+            x = (x ^ np.repeat(keys[now], sizes)) * np.uint64(_M2)
+            hits = np.flatnonzero((x >> np.uint64(32)) < np.uint64(self.dropout))
+            at, first = np.unique(np.searchsorted(ends, hits, side="right"), return_index=True)
+            turn = (hits[first] - (ends - sizes)[at]).tolist()
+            now = [now[a] for a in at.tolist()]
+            for i, t in zip(now, turn):
+                node = nodes[i]
+                if t not in node.after:
+                    node.after[t] = self.node(node.text, (*node.skips, (node.skips[-1] + 1 if node.skips else 0) + t))
+                    known.nodes += 1
+                nodes[i] = node.after[t]
+                out[i] = nodes[i].ids
+        return out
+
     def decode(self, ids: bytes) -> str:
         """The text of identifiers; bytes that are no UTF-8 become U+FFFD."""
         data = b"".join(map(self.meaning.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
@@ -176,19 +212,19 @@ class Segmenter:
 _segmenters: dict[tuple, Segmenter] = {}
 
 
-def segmenter(path: str, dropout: float, seed: int, variants: int) -> Segmenter:
-    at = (path, dropout, seed, variants)
+def segmenter(path: str, dropout: float, seed: int) -> Segmenter:
+    at = (path, dropout, seed)
     if at not in _segmenters:
         _segmenters.clear()  # one memo per worker
         _segmenters[at] = Segmenter(*at)
     return _segmenters[at]
 
 
-def encode(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+def encode(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """doc_id, ids array<int> of every row. A null or empty text has no identifiers; nothing is shuffled."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = segmenter(path, dropout, seed, variants)
+        tool = segmenter(path, dropout, seed)
         for batch in batches:
             data = [tool.encode(t or "", str(d)) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             offsets = pa.array(np.r_[0, np.cumsum([len(x) // 4 for x in data])].astype(np.int32))
@@ -204,7 +240,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """doc_id, text of every row of (doc_id, ids). Null identifiers give a null text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = segmenter(path, 0.0, 0, 1)
+        tool = segmenter(path, 0.0, 0)
         for batch in batches:
             texts = [None if ids is None else tool.decode(np.array(ids, dtype="<u4").tobytes()) for ids in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
@@ -214,7 +250,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(scan, f"doc_id {kind}, text string")
 
 
-def round_trip(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0, variants: int = 4) -> DataFrame:
+def round_trip(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """doc_id, n_ids, ids_crc32, decoded_crc32, lossless of every row: each text encoded and decoded again.
 
     A null text counts as empty (no identifiers); repeated rows get equal segmentations;
@@ -222,7 +258,7 @@ def round_trip(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0,
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = segmenter(path, dropout, seed, variants)
+        tool = segmenter(path, dropout, seed)
         for batch in batches:
             sizes, sums, back, same = [], [], [], []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):

@@ -494,3 +494,17 @@ def test_passages_of_lines_with_other_first_holders(spark, lines, size):
     whole = set(range(40, 40 + lines * size))
     for d in range(len(early) + 1, len(early) + len(late), 2):
         assert len(found[d] & whole) >= 0.95 * len(whole), d
+
+
+def test_every_occurrence_draws_its_own_skips():
+    tool = pieces.Segmenter(MODEL, 0.1, 7)
+    text = "internationalisation"
+    seen = collections.Counter(tool.encode(text, str(i)) for i in range(3000))
+    assert len(seen) > 20 and all(tool.decode(x) == text for x in seen)
+    # by other candidates a text may come to the same pieces, so draws are counted at the first nodes
+    part = tool.library.normalize(text)
+    n, root = len(tool.node(part, ()).agenda), tool.known[part]
+    root.after.clear()
+    tool.drawn([part] * 3000, 5)
+    whole = sum(x is root.ids for x in tool.drawn([part] * 3000, 5))
+    assert set(root.after) == set(range(n)) and whole / 3000 == pytest.approx(0.9**n, abs=0.03)
