@@ -508,3 +508,19 @@ def test_every_occurrence_draws_its_own_skips():
     tool.drawn([part] * 3000, 5)
     whole = sum(x is root.ids for x in tool.drawn([part] * 3000, 5))
     assert set(root.after) == set(range(n)) and whole / 3000 == pytest.approx(0.9**n, abs=0.03)
+
+
+def test_recall_of_fuzzy_passages_by_edit_rate(spark):
+    """Passages of 80 words, some of them replaced, 100 for each rate; the README gives these shares."""
+    rng = random.Random(25)
+    rates, each = (0.0, 0.05, 0.1, 0.15), 100
+    early, late = [], []
+    for rate in rates:
+        for _ in range(each):
+            p = words(rng, 80)
+            at = set(rng.sample(range(80), round(80 * rate)))
+            early.append(words(rng, 40) + p + words(rng, 40))
+            late.append(words(rng, 40) + [words(rng, 1)[0] + "q" if i in at else w for i, w in enumerate(p)] + words(rng, 40))
+    found = found_words(spark, [" ".join(t) for t in early + late])
+    met = [sum(len(found[len(early) + k * each + i] & set(range(40, 120))) >= 50 for i in range(each)) / each for k in range(len(rates))]
+    assert met[0] == 1.0 and met[1] >= 0.9 and met[2] >= 0.65 and met[3] >= 0.35
