@@ -1,15 +1,14 @@
-"""Packing token sequences by a configuration linear program.
+"""Packing token sequences by a greedy knapsack over configurations.
 
 1. Every text becomes identifiers (end mark included) and is cut only where it is
    longer than a sequence. Only (doc_id, piece, start, length, checksum) leave the
    workers, and they are written once.
 2. The histogram of piece lengths has at most ``capacity`` entries whatever the
-   corpus. A *configuration* is a multiset of lengths that fits one sequence. The
-   program "fewest sequences that cover the histogram" is solved by multiplicative
-   weights: a length that lags behind its share of the demand gets a higher price,
-   and a knapsack over the capacity (dynamic programming) finds the configuration
-   of the highest total price.
-3. Rounding: a configuration is taken a whole number of times, never beyond what a
+   corpus. A *configuration* is a multiset of lengths that fits one sequence. In
+   turn, a knapsack over the capacity (dynamic programming) finds the configuration
+   of the highest total price; prices are lengths, a little higher for a length that
+   lags behind its share of the demand. No linear program is solved.
+3. A configuration is taken at once, a whole number of times, never beyond what a
    length still has; what the iterations leave goes by best fit on the histogram.
 4. Pieces are numbered within their length by a salted window, and the plan, which
    is bounded by the capacity and not by the corpus, turns (length, number) into
