@@ -158,7 +158,6 @@ def token_counts(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    arrow_batches(docs.sparkSession)
     read = docs.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     kind = dict(read.dtypes)["doc_id"]
-    return read.mapInArrow(scan, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
+    return arrow_batches(read, scan, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")

@@ -7,14 +7,16 @@ import re
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: White space of the text contracts, as a regular-expression class (the same in Java, Python and DuckDB).
 SPACES = r"[\x20\x09-\x0D]+"
-#: Rows of one Arrow batch. Texts may be long, so Spark's 10,000 would be too many.
-BATCH_ROWS = 512
+#: Rows and bytes of the batches that a function works on at once.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +24,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of Arrow batches, so that memory follows the batch and not the default of 10,000 rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def parted(batches: Iterator[pa.RecordBatch], rows: int = BATCH_ROWS, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows`` rows and, where a batch has several rows, ``size`` bytes."""
+    for batch in batches:
+        todo = [batch.slice(at, rows) for at in range(0, batch.num_rows, rows)][::-1]
+        while todo:
+            some = todo.pop()
+            if some.num_rows > 1 and some.nbytes > size:
+                half = some.num_rows // 2
+                todo += [some.slice(half), some.slice(0, half)]
+            else:
+                yield some
+
+
+def arrow_batches(df: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """``df.mapInArrow(scan, schema)`` whose batches are bounded in rows and bytes in the worker.
+
+    What crosses from the engine is bounded by its own settings (10,000 rows and 64 MB); no
+    setting of the session is changed.
+    """
+    return df.mapInArrow(lambda batches: scan(parted(batches, rows)), schema)
+
+
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, tag (hash of the text), text of every row with a doc_id; rows that repeat doc_id and text are one.
+
+    Only rows that are repeated are shuffled with their texts.
+    """
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    times = rows.groupBy(F.col("doc_id").alias("twice_id"), F.col("tag").alias("twice_tag")).agg(F.count("*").alias("times")).where("times > 1")
+    twice = materialise(times.drop("times"), "twice")
+    if twice.isEmpty():
+        return rows
+    same = (F.col("doc_id") == F.col("twice_id")) & (F.col("tag") == F.col("twice_tag"))
+    # written first, so that one of each is taken before anything meets by its key
+    again = materialise(rows.join(twice, same, "left_semi"), "repeated")
+    return rows.join(twice, same, "left_anti").union(again.groupBy("doc_id", "tag").agg(F.any_value("text").alias("text")))
 
 
 def partitions(spark: SparkSession) -> int:

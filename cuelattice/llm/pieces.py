@@ -4,23 +4,24 @@ The vocabulary is a public merge-type model; its pieces and scores come from the
 sentencepiece library. A text is parted before each run of the space mark, which no
 piece crosses. In a part, an agenda holds the adjacent symbols that make a piece,
 best score first, then leftmost; each candidate that is taken is skipped when its
-keyed hash falls below the dropout rate, else the symbols are joined. The agenda of
-a long part is a heap over a linked list. The key is drawn from the seed, the document
-and the place of the part, so every occurrence of a word meets skips of its own, and a
-document has the same segmentation in every run and retry. What candidates follow which
-skips does not depend on keys: a worker keeps that for short parts, and an occurrence
-only draws. Characters without a piece become byte pieces, so whatever was skipped, the
-identifiers decode to the text.
+keyed hash falls below the dropout rate, else the symbols are joined. The key is drawn
+from the seed, the document and the place of the part, and the hash from the key, the
+piece and the place in the part: every occurrence of a word meets skips of its own, and a
+document has the same segmentation in every run and retry.
+
+The agendas of all short parts of a batch are worked off side by side: each turn takes
+the best candidate of every part that has one, as array operations over a linked list
+per part. The agenda of a long part is a heap. Both take the same candidates in the same
+order. Nothing is remembered between batches, so memory and speed do not hang on how
+often words repeat. Characters without a piece become byte pieces, so whatever was
+skipped, the identifiers decode to the text.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 import struct
 from collections.abc import Iterator
-from itertools import repeat
-from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -31,109 +32,173 @@ from pyspark.sql import functions as F
 from cuelattice.llm.common import arrow_batches, crc32
 
 SPACE = "▁"
-PARTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _M1, _M2, _MASK = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, (1 << 64) - 1
 
-#: Characters of a part whose agenda is a list, and the rank of what is no piece.
-SHORT, _NONE = 48, 1 << 40
-#: Nodes that a worker keeps; there are two generations.
-KNOWN = 300_000
-
-
-class _Node:
-    """A part after some skips: the candidates that follow while none more is skipped, and the identifiers they end in."""
-
-    __slots__ = ("text", "skips", "agenda", "ids", "after")
-
-    def __init__(self, text: str, skips: tuple[int, ...], agenda: np.ndarray, ids: bytes):
-        self.text, self.skips, self.agenda, self.ids = text, skips, agenda, ids
-        self.after: dict[int, _Node] = {}  # by the candidate that is skipped next
-
-
-class _Known(dict):
-    """First nodes of parts; when the generation is full of nodes, the one before it goes."""
-
-    def __init__(self, work):
-        super().__init__()
-        self.work, self.old, self.nodes = work, {}, 0
-
-    def __missing__(self, part: str) -> _Node:
-        x = self.old.get(part) or self.work(part, ())
-        if self.nodes >= KNOWN:
-            self.old, self.nodes = dict(self), 0
-            self.clear()
-        self[part] = x
-        self.nodes += 1
-        return x
+#: Characters of the parts that are worked off side by side, by the width of their arrays, and parts in one go.
+WIDTHS, ROWS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 48, 63), 1 << 15
+#: Characters that are encoded at once; longer texts are cut between parts.
+CHUNK = 1 << 20
+#: What is no candidate, and a symbol that was joined to the left.
+_NONE, _GONE = np.int32((1 << 31) - 1), np.int32(-1)
+
+
+def characters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def opens_of(chars: np.ndarray) -> np.ndarray:
+    """Whether a part opens at each character: at the first of a run of space marks, and at the start."""
+    mark = chars == ord(SPACE)
+    opens = mark & ~np.r_[False, mark[:-1]]
+    opens[:1] = True
+    return opens
+
+
+def between_parts(normal: str, size: int) -> Iterator[str]:
+    """The normal form in stretches of about ``size`` characters that end where parts end."""
+    at = 0
+    while len(normal) - at > size:
+        cut = normal.find(SPACE, at + size)
+        while cut > 0 and normal[cut - 1] == SPACE:
+            cut = normal.find(SPACE, cut + 1)
+        if cut < 0:
+            break
+        yield normal[at:cut]
+        at = cut
+    yield normal[at:]
+
+
+class Pairs:
+    """Which two symbols make which piece: an open-addressing table that is read by arrays."""
+
+    def __init__(self, pairs: dict[int, int]):
+        bits = max(10, (4 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        keys, values = [_MASK] * (1 << bits), [0] * (1 << bits)
+        for key, value in pairs.items():
+            at = (key * _M1 & _MASK) >> (64 - bits)
+            while keys[at] != _MASK:
+                at = at + 1 & self.mask
+            keys[at], values[at] = key, value
+        self.keys, self.values = np.array(keys, np.uint64), np.array(values, np.int32)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece of each two symbols, -1 if they make none."""
+        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
+        at = (key * np.uint64(_M1) >> self.shift).astype(np.int64)
+        there = self.keys[at]
+        hit = there == key
+        out = np.where(hit, self.values[at], np.int32(-1))
+        left_over = np.flatnonzero(~hit & (there != np.uint64(_MASK)))
+        while len(left_over):
+            at[left_over] = at[left_over] + 1 & self.mask
+            there = self.keys[at[left_over]]
+            hit = there == key[left_over]
+            out[left_over[hit]] = self.values[at[left_over[hit]]]
+            left_over = left_over[~hit & (there != np.uint64(_MASK))]
+        return out
 
 
 class Segmenter:
-    """Encoder and decoder of one ``.model`` file."""
+    """Encoder and decoder of one ``.model`` file. A piece's symbol is its rank; characters without a piece come after."""
 
     def __init__(self, path: str, dropout: float = 0.1, seed: int = 0):
         import sentencepiece
 
         self.library = library = sentencepiece.SentencePieceProcessor(model_file=path)
         size = library.get_piece_size()
-        self.names = [library.id_to_piece(i) for i in range(size)]
+        names = [library.id_to_piece(i) for i in range(size)]
         special = [library.is_control(i) or library.is_unknown(i) or library.is_unused(i) for i in range(size)]
         plain = [i for i in range(size) if not special[i] and not library.is_byte(i)]
-        crossing = [self.names[i] for i in plain if SPACE in self.names[i].lstrip(SPACE)]
+        crossing = [names[i] for i in plain if SPACE in names[i].lstrip(SPACE)]
         if crossing:
             raise ValueError(f"pieces cross a space mark: {crossing[:3]}")
-        self.ids = {self.names[i]: i for i in plain}
         order = sorted(plain, key=lambda i: (-library.get_score(i), i))
-        self.ranks = {self.names[i]: r for r, i in enumerate(order)}
-        self.by_rank = [self.names[i] for i in order]
-        self.bytes = {int(self.names[i][3:5], 16): i for i in range(size) if library.is_byte(i)}
+        self.ranks = {names[i]: r for r, i in enumerate(order)}
+        self.ids = np.array(order, dtype="<i4")
+        symbols = dict(self.ranks)
+        for name in self.ranks:
+            for c in name:
+                symbols.setdefault(c, len(symbols))
+        self.unknown = len(symbols)
+        self.first = np.full(0x110000, self.unknown, np.int32)  # the symbol of each character
+        for name, s in symbols.items():
+            if len(name) == 1:
+                self.first[ord(name)] = s
+        pairs = {}
+        for name, r in self.ranks.items():
+            for k in range(1, len(name)):
+                if (a := symbols.get(name[:k])) is not None and (b := symbols.get(name[k:])) is not None:
+                    pairs[a << 32 | b] = r
+        self.pairs = Pairs(pairs)
+        self.bytes = {int(names[i][3:5], 16): i for i in range(size) if library.is_byte(i)}
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte pieces, so not every text has a lossless encoding")
         # what each identifier stands for; control pieces stand for nothing
-        self.meaning = [b"" if special[i] else self.names[i].replace(SPACE, " ").encode() for i in range(size)]
+        meaning = [b"" if special[i] else names[i].replace(SPACE, " ").encode() for i in range(size)]
         for value, i in self.bytes.items():
-            self.meaning[i] = bytes([value])
-        self.mark = b"".join(struct.pack("<I", self.bytes[b]) for b in SPACE.encode())
+            meaning[i] = bytes([value])
+        self.meaning = np.frombuffer(b"".join(meaning), dtype=np.uint8)
+        self.sizes = np.array([len(m) for m in meaning])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.mark = np.array([self.bytes[b] for b in SPACE.encode()], dtype="<i4")
         self.prefix = library.normalize("a") != "a"
         self.dropout, self.seed = int(dropout * (1 << 32)), seed
-        self.known = _Known(self.node)
-
-    def packed(self, symbols: list[str]) -> bytes:
-        """Identifiers (four bytes each, little-endian) of symbols."""
-        out: list[int] = []
-        for piece in symbols:
-            found = self.ids.get(piece)
-            if found is not None:
-                out.append(found)
-            else:
-                out += [self.bytes[b] for b in piece.encode("utf-8")]
-        return struct.pack(f"<{len(out)}I", *out)
-
-    def node(self, text: str, skips: tuple[int, ...]) -> _Node:
-        symbols, agenda = self.short(text, skips)
-        since = skips[-1] + 1 if skips else 0
-        return _Node(text, skips, np.array(agenda[since:], dtype=np.uint64), self.packed(symbols))
-
-    def short(self, text: str, skips: tuple[int, ...] = ()) -> tuple[list[str], list[int]]:
-        """Symbols of a short part and its candidates in order, of which those numbered ``skips`` are skipped.
-
-        The agenda is the list of its pairs' ranks: searching it costs less than a heap.
-        """
-        rank_of, by_rank, met = self.ranks.get, self.by_rank, []
-        symbols, starts = list(text), list(range(len(text)))
-        ranks = list(map(rank_of, map(add, text, text[1:]), repeat(_NONE)))
-        while ranks and (r := min(ranks)) != _NONE:
-            i = ranks.index(r)
-            met.append(r << 32 | starts[i])
-            if len(met) - 1 in skips:
-                ranks[i] = _NONE
-                continue
-            symbols[i] = new = by_rank[r]
-            del symbols[i + 1], starts[i + 1], ranks[i]
-            if i < len(ranks):
-                ranks[i] = rank_of(new + symbols[i + 1], _NONE)
-            if i:
-                ranks[i - 1] = rank_of(symbols[i - 1] + new, _NONE)
-        return symbols, met
+
+    def skipped(self, keys: np.ndarray, ranks: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether each candidate is skipped: drawn from its part's key, its piece and its place."""
+        entry = ranks.astype(np.uint64) << np.uint64(32) | places.astype(np.uint64)
+        return ((keys ^ entry * np.uint64(_M1)) * np.uint64(_M2) >> np.uint64(32)) < np.uint64(self.dropout)
+
+    def short(self, symbols: np.ndarray, begin: np.ndarray, size: np.ndarray, keys: np.ndarray) -> None:
+        """Join the symbols of parts [begin, begin + size) in place, all parts side by side."""
+        n, width = len(begin), int(size.max())
+        row = np.arange(width, dtype=np.int64)[:, None]
+        there = row < size
+        s = np.where(there, symbols[np.minimum(begin + row, len(symbols) - 1)], self.unknown).astype(np.int32)
+        found = self.pairs.find(s[:-1].ravel(), s[1:].ravel()).reshape(width - 1, n)
+        # an agenda entry is rank and place in one number; the least is the best
+        agenda = np.where((found >= 0) & there[1:], found << 6 | np.arange(width - 1, dtype=np.int32)[:, None], _NONE).astype(np.int32)
+        after = np.repeat(np.arange(1, width + 1, dtype=np.int8)[:, None], n, axis=1)
+        before = np.repeat(np.arange(-1, width - 1, dtype=np.int8)[:, None], n, axis=1)
+        flat, after, before = s.ravel(), after.ravel(), before.ravel()
+        part = np.arange(n)  # of the columns that are still in the agenda
+        while True:
+            best = agenda.min(axis=0)
+            at = np.flatnonzero(best != _NONE)
+            if not len(at):
+                break
+            if 2 * len(at) < len(part):
+                agenda, part, best = np.ascontiguousarray(agenda[:, at]), part[at], best[at]
+                at = np.arange(len(at))
+            rank, i = best[at] >> 6, best[at] & 63
+            if self.dropout:
+                skip = self.skipped(keys[part[at]], rank, i)
+                agenda[i[skip], at[skip]] = _NONE
+                at, rank, i = at[~skip], rank[~skip], i[~skip]
+            p = part[at]
+            here = i * n + p
+            j = after[here].astype(np.int64)
+            k = after[j * n + p].astype(np.int64)
+            flat[here], flat[j * n + p] = rank, _GONE
+            after[here] = k
+            inner = j < width - 1
+            agenda[j[inner], at[inner]] = _NONE
+            more = k < size[p]
+            before[k[more] * n + p[more]] = i[more]
+            agenda[i, at] = _NONE
+            self._offer(agenda, i[more], at[more], rank[more], flat[k[more] * n + p[more]])
+            h = before[here].astype(np.int64)
+            less = h >= 0
+            h = h[less]
+            agenda[h, at[less]] = _NONE
+            self._offer(agenda, h, at[less], flat[h * n + p[less]], rank[less])
+        symbols[(begin + row)[there]] = s[there]
+
+    def _offer(self, agenda: np.ndarray, place: np.ndarray, column: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+        found = self.pairs.find(left, right)
+        ok = found >= 0
+        agenda[place[ok], column[ok]] = found[ok] << 6 | place[ok].astype(np.int32)
 
     def long(self, text: str, key: int) -> list[str]:
         """Symbols of a long part, by a heap and a linked list; a symbol is a span [i, end[i]), end 0 if joined to the left."""
@@ -158,55 +223,118 @@ class Segmenter:
                 heapq.heappush(agenda, r << 32 | h)
         return [text[i : end[i]] for i in range(n) if end[i]]
 
-    def encode(self, text: str, key: str = "") -> bytes:
-        """Identifiers of a whole text. ``key`` (its document) draws what is skipped."""
-        out: list[bytes] = []
-        for k, piece in enumerate(text.split(SPACE)):  # a space mark in the text itself is written as bytes
-            if k:
-                out.append(self.mark)
+    def normals(self, text: str) -> list[str]:
+        """The library's normal form of the text between space marks; a mark in the text itself is written as bytes."""
+        if SPACE not in text:
+            return [self.library.normalize(text) if text else ""]
+        out = []
+        for k, piece in enumerate(text.split(SPACE)):
             normal = self.library.normalize(piece) if piece else ""
             if piece and k and self.prefix:
                 normal = normal[len(SPACE) :]
-            elif not piece and not k and self.prefix and text:
+            elif not piece and not k and self.prefix:
                 normal = SPACE
-            out += self.drawn(PARTS.findall(normal), xxhash.xxh64_intdigest(f"{key}/{k}", self.seed & _MASK))
-        return b"".join(out)
+            out.append(normal)
+        return out
 
-    def drawn(self, parts: list[str], start: int) -> list[bytes]:
-        """Identifiers of each part; part i draws by the i-th key from ``start`` on."""
-        keys = (np.arange(len(parts), dtype=np.uint64) + np.uint64(start)) * np.uint64(_M1)
+    def encode_all(self, texts: list[str], keys: list[str]) -> list[np.ndarray]:
+        """Identifiers (int32) of whole texts. A text's key (its document) draws what is skipped."""
+        out: list[list[np.ndarray]] = [[] for _ in texts]
+        held: list[tuple[int, str, int, int]] = []  # text, characters, drawn key, parts before in the stretch
+
+        def work_off() -> None:
+            ids, ends = self.encode_stretches([h[1] for h in held], [h[2] for h in held], [h[3] for h in held])
+            for h, x in zip(held, np.split(ids, ends[:-1])):
+                out[h[0]].append(x)
+            held.clear()
+
+        room = CHUNK
+        for t, (text, key) in enumerate(zip(texts, keys)):
+            for k, normal in enumerate(self.normals(text)):
+                drawn, before = xxhash.xxh64_intdigest(f"{key}/{k}", self.seed & _MASK), 0
+                for m, some in enumerate(between_parts(normal, CHUNK)):
+                    if held and len(some) > room:
+                        work_off()
+                        room = CHUNK
+                    if k and not m:
+                        held.append((t, "", drawn, -1))  # where the mark goes
+                    held.append((t, some, drawn, before))
+                    room -= len(some)
+                    if len(some) < len(normal):
+                        before += int(opens_of(characters(some)).sum())
+        if held:
+            work_off()
+        return [x[0] if len(x) == 1 else np.concatenate(x) for x in out]
+
+    def encode_stretches(self, stretches: list[str], drawn: list[int], before: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """All identifiers of normal forms, one after another, and where each ends. ``before`` is the number of each one's first part, -1 for a space mark of the text."""
+        lengths = np.array([len(x) for x in stretches], dtype=np.int64)
+        chars, base = characters("".join(stretches)), np.array(before, dtype=np.int64)
+        first = np.cumsum(lengths) - lengths
+        opens = opens_of(chars)
+        opens[first[lengths > 0]] = True
+        begin = np.flatnonzero(opens)
+        size = np.diff(np.r_[begin, len(chars)])
+        stretch = np.searchsorted(first, begin, side="right") - 1
+        number = np.arange(len(begin)) - np.searchsorted(begin, first)[stretch] + base[stretch]
+        keys = (np.array(drawn, np.uint64)[stretch] + number.astype(np.uint64)) * np.uint64(_M1)
         keys = (keys ^ keys >> np.uint64(30)) * np.uint64(_M2)
         keys ^= keys >> np.uint64(27)
-        known = self.known
-        nodes = [known[p] if len(p) <= SHORT else None for p in parts]
-        out = [b"" if n is None else n.ids for n in nodes]
-        for i in (i for i, n in enumerate(nodes) if n is None):
-            out[i] = self.packed(self.long(parts[i], int(keys[i])))
-        now = [i for i, n in enumerate(nodes) if n is not None] if self.dropout else []
-        while now:  # each round, the parts that met one more skip
-            sizes = np.array([len(nodes[i].agenda) for i in now])
-            ends = np.cumsum(sizes)
-            x = np.concatenate([nodes[i].agenda for i in now]) * np.uint64(_M1)
-            x = (x ^ np.repeat(keys[now], sizes)) * np.uint64(_M2)
-            hits = np.flatnonzero((x >> np.uint64(32)) < np.uint64(self.dropout))
-            at, first = np.unique(np.searchsorted(ends, hits, side="right"), return_index=True)
-            turn = (hits[first] - (ends - sizes)[at]).tolist()
-            now = [now[a] for a in at.tolist()]
-            for i, t in zip(now, turn):
-                node = nodes[i]
-                if t not in node.after:
-                    node.after[t] = self.node(node.text, (*node.skips, (node.skips[-1] + 1 if node.skips else 0) + t))
-                    known.nodes += 1
-                nodes[i] = node.after[t]
-                out[i] = nodes[i].ids
-        return out
+        symbols = self.first[chars]
+        by_width = np.searchsorted(WIDTHS, size)
+        order = np.argsort(by_width, kind="stable")
+        bounds = np.searchsorted(by_width[order], np.arange(len(WIDTHS) + 1))
+        for lo, hi in zip(bounds, bounds[1:]):
+            for at in range(lo, hi, ROWS):
+                some = order[at : min(at + ROWS, hi)]
+                some = some[size[some] > 1]
+                if len(some):
+                    self.short(symbols, begin[some], size[some], keys[some])
+        for p in order[bounds[-1] :].tolist():
+            b, n = int(begin[p]), int(size[p])
+            text = chars[b : b + n].tobytes().decode("utf-32-le", "surrogatepass")
+            symbols[b : b + n] = _GONE
+            at = b
+            for x in self.long(text, int(keys[p])):
+                symbols[at] = self.ranks[x] if x in self.ranks else self.first[ord(x)]
+                at += len(x)
+        ids, ends = self._identified(symbols, chars, np.cumsum(lengths))
+        marks = np.flatnonzero(base < 0)
+        if len(marks):
+            ids = np.insert(ids, np.repeat(ends[marks], len(self.mark)), np.tile(self.mark, len(marks)))
+            ends = ends + len(self.mark) * np.cumsum(base < 0)
+        return ids, ends
+
+    def _identified(self, symbols: np.ndarray, chars: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(chars):
+            return np.empty(0, "<i4"), np.zeros(len(ends), np.int64)
+        times = (symbols != _GONE).astype(np.int64)
+        bare = np.flatnonzero(symbols >= len(self.ids))  # characters without a piece
+        spelled = {c: [self.bytes[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in np.unique(chars[bare]).tolist()}
+        for c, x in spelled.items():
+            times[bare[chars[bare] == c]] = len(x)
+        stop = np.cumsum(times)
+        out = np.empty(int(stop[-1]), "<i4")
+        known = (symbols != _GONE) & (symbols < len(self.ids))
+        out[stop[known] - 1] = self.ids[symbols[known]]
+        for c, x in spelled.items():
+            at = bare[chars[bare] == c]
+            for k, i in enumerate(x):
+                out[stop[at] - len(x) + k] = i
+        return out, np.r_[0, stop][ends]
+
+    def encode(self, text: str, key: str = "") -> bytes:
+        """Identifiers of one text, four bytes each, little-endian."""
+        return self.encode_all([text], [key])[0].tobytes()
 
-    def decode(self, ids: bytes) -> str:
-        """The text of identifiers; bytes that are no UTF-8 become U+FFFD."""
-        data = b"".join(map(self.meaning.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
-        if self.prefix and data.startswith(b" "):
-            data = data[1:]
-        return data.decode("utf-8", "replace")
+    def decode(self, ids: bytes | np.ndarray) -> bytes:
+        """The UTF-8 of identifiers."""
+        ids = np.frombuffer(ids, dtype="<i4") if isinstance(ids, bytes) else ids
+        sizes = self.sizes[ids]
+        total = int(sizes.sum())
+        from_ = np.repeat(self.starts[ids] - (np.cumsum(sizes) - sizes), sizes)
+        data = self.meaning[from_ + np.arange(total)].tobytes()
+        return data[1:] if self.prefix and data.startswith(b" ") else data
 
 
 _segmenters: dict[tuple, Segmenter] = {}
@@ -215,7 +343,7 @@ _segmenters: dict[tuple, Segmenter] = {}
 def segmenter(path: str, dropout: float, seed: int) -> Segmenter:
     at = (path, dropout, seed)
     if at not in _segmenters:
-        _segmenters.clear()  # one memo per worker
+        _segmenters.clear()
         _segmenters[at] = Segmenter(*at)
     return _segmenters[at]
 
@@ -226,50 +354,48 @@ def encode(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0) -> D
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, dropout, seed)
         for batch in batches:
-            data = [tool.encode(t or "", str(d)) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            offsets = pa.array(np.r_[0, np.cumsum([len(x) // 4 for x in data])].astype(np.int32))
-            ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(data), dtype="<i4")))
+            data = tool.encode_all([t or "" for t in batch.column(1).to_pylist()], [str(d) for d in batch.column(0).to_pylist()])
+            offsets = pa.array(np.r_[0, np.cumsum([len(x) for x in data])].astype(np.int32))
+            ids = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.empty(0, "<i4"), *data])))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], names=["doc_id", "ids"])
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, ids array<int>")
+    return arrow_batches(docs.select("doc_id", "text"), scan, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """doc_id, text of every row of (doc_id, ids). Null identifiers give a null text."""
+    """doc_id, text of every row of (doc_id, ids). Null identifiers give a null text; bytes that are no UTF-8 become U+FFFD."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, 0.0, 0)
         for batch in batches:
-            texts = [None if ids is None else tool.decode(np.array(ids, dtype="<u4").tobytes()) for ids in batch.column(1).to_pylist()]
+            texts = [None if x.values is None else tool.decode(x.values.to_numpy(zero_copy_only=False)).decode("utf-8", "replace") for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
-    arrow_batches(encoded.sparkSession)
     kind = dict(encoded.dtypes)["doc_id"]
-    return encoded.select("doc_id", "ids").mapInArrow(scan, f"doc_id {kind}, text string")
+    return arrow_batches(encoded.select("doc_id", "ids"), scan, f"doc_id {kind}, text string")
 
 
 def round_trip(docs: DataFrame, path: str, dropout: float = 0.1, seed: int = 0) -> DataFrame:
     """doc_id, n_ids, ids_crc32, decoded_crc32, lossless of every row: each text encoded and decoded again.
 
     A null text counts as empty (no identifiers); repeated rows get equal segmentations;
-    a null doc_id draws as the word None; other columns are not read.
+    a null doc_id draws as the word None; other columns are not read; an empty table gives
+    an empty result.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = segmenter(path, dropout, seed)
         for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
             sizes, sums, back, same = [], [], [], []
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = tool.encode(t or "", str(d))
-                text = tool.decode(ids)
-                sizes.append(len(ids) // 4)
-                sums.append(crc32(ids))
-                back.append(crc32(text.encode("utf-8")))
-                same.append(text == (t or ""))
+            for text, ids in zip(texts, tool.encode_all(texts, [str(d) for d in batch.column(0).to_pylist()])):
+                data = tool.decode(ids)
+                sizes.append(len(ids))
+                sums.append(crc32(ids.tobytes()))
+                back.append(crc32(data))
+                same.append(data == text.encode("utf-8"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(back, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "n_ids", "ids_crc32", "decoded_crc32", "lossless"])
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n_ids long, ids_crc32 long, decoded_crc32 long, lossless boolean")
+    return arrow_batches(docs.select("doc_id", "text"), scan, f"doc_id {kind}, n_ids long, ids_crc32 long, decoded_crc32 long, lossless boolean")

@@ -88,9 +88,8 @@ def prints(docs: DataFrame, size: int = 3, blocks: int = 1) -> DataFrame:
             columns = [pa.array(np.ascontiguousarray(found[:, t]).view(np.int64)) for t in range(blocks)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", *[f"fp{t}" for t in range(blocks)]])
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, " + ", ".join(f"fp{t} long" for t in range(blocks)))
+    return arrow_batches(docs.select("doc_id", "text"), scan, f"doc_id {kind}, " + ", ".join(f"fp{t} long" for t in range(blocks)))
 
 
 def low(fp: Column) -> Column:

@@ -134,10 +134,9 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
         if pending is not None:
             raise RuntimeError(f"no follower for the document {pending[1]}")
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, inside_edited double, inside_next double"
-    return neighbours(docs).select("bucket", "copy", "doc_id", "text").mapInArrow(scan, schema)
+    return arrow_batches(neighbours(docs).select("bucket", "copy", "doc_id", "text"), scan, schema)
 
 
 def _row(bucket, doc_id, text, sketch, mark, following, next_sketch, next_mark, scale) -> tuple:
