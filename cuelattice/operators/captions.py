@@ -80,6 +80,9 @@ class Cutter:
 def segment(words: DataFrame, book: str) -> DataFrame:
     """Words (book, pos, island, text, start, end) with ``cue``, numbered from 1 within the book.
 
+    Words without a text, a start or an end belong to no cue and are left out (``sorted_words`` and
+    ``fusion.repair_times`` do so before).
+
     The greedy rules look back at the open cue, so an island is read in order. Islands
     are dealt over the cluster and streamed in Arrow batches with constant state; a fold
     over arrays inside one row would hold a book and copy its state at every word.
@@ -95,7 +98,7 @@ def segment(words: DataFrame, book: str) -> DataFrame:
                 opens.append(not cut.takes(text, start, end))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(opens, pa.bool_())], names=[*batch.schema.names, "opens"])
 
-    rows = words.select(book, "pos", "island", "text", "start", "end")
+    rows = words.where("text IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").select(book, "pos", "island", "text", "start", "end")
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", opens boolean"
     cut = rows.repartition(book, "island").sortWithinPartitions(book, "island", "pos").mapInArrow(scan, schema)
     return cut.withColumn("cue", F.sum(F.col("opens").cast("long")).over(W.partitionBy(book).orderBy("pos"))).drop("opens")
@@ -118,33 +121,62 @@ def timed(cue: DataFrame, book: str) -> DataFrame:
     return rows.withColumn("end", F.greatest(end, F.col("start") + 0.08)).drop("next")
 
 
+class Mender:
+    """Settles cues one after another: the next cue decides the open one's end and may be moved itself."""
+
+    def __init__(self):
+        self.start: float | None = None
+        self.end = 0.0
+
+    def follows(self, start: float, end: float) -> tuple[float, float] | None:
+        """Start and end of the cue before, now that the next one is known."""
+        settled = None
+        if self.start is not None:
+            settled = (self.start, self.end)
+            if self.end >= start and start <= self.start:
+                held = min(self.start + MAX_SECONDS, max(self.end, self.start + 0.8))
+                settled, start = (self.start, held), held + 0.04
+            elif self.end >= start:
+                settled = (self.start, max(self.start + 0.01, start - 0.04))
+        self.start, self.end = start, end
+        return settled
+
+
 def repair(cue: DataFrame, book: str) -> DataFrame:
     """Cues without overlap after one forward pass; a coincident start is moved, which the next cue sees.
 
-    A pair is only touched where an end reaches the next start, and a move can reach
-    no further than the run of cues so linked: runs are cut by a window (a cue starts a
-    run when the longest possible end before it, with every move, stays short of it) and
-    folded one by one inside the engine.
+    Books are dealt over the cluster and read in order, in Arrow batches with constant
+    state: one open cue. Every cue is written when its follower is known.
     """
-    order = W.partitionBy(book).orderBy("cue")
-    reach = F.greatest(F.col("end"), F.col("start") + MAX_SECONDS) + 0.04
-    before = F.max(reach).over(order.rowsBetween(W.unboundedPreceding, -1))
-    rows = cue.withColumn("opens", F.coalesce(before + MAX_SECONDS < F.col("start"), F.lit(True)).cast("int")).withColumn("run", F.sum("opens").over(order))
-    runs = rows.groupBy(book, "run").agg(F.sort_array(F.collect_list(F.struct("cue", "start", "end"))).alias("all"))
-    one = "named_struct('cue', {0}.cue, 'start', {1}, 'end', {2})"
-    # the state is the finished cues and the open one; the next cue settles the open one's end and may be moved itself
-    meets, same = "s.last.end >= c.start", "c.start <= s.last.start"
-    held = f"least(s.last.start + {MAX_SECONDS}D, greatest(s.last.end, s.last.start + 0.8D))"
-    end = f"CASE WHEN NOT ({meets}) THEN s.last.end WHEN {same} THEN {held} ELSE greatest(s.last.start + 0.01D, c.start - 0.04D) END"
-    start = f"CASE WHEN {meets} AND {same} THEN {held} + 0.04D ELSE c.start END"
-    fold = f"""aggregate(slice(all, 2, size(all) - 1),
-        named_struct('done', slice(all, 1, 0), 'last', all[0]),
-        (s, c) -> named_struct('done', concat(s.done, array({one.format('s.last', 's.last.start', end)})), 'last', {one.format('c', start, 'c.end')}),
-        s -> concat(s.done, array(s.last)))"""
-    fixed = runs.select(book, F.explode(F.expr(fold)).alias("x")).select(book, F.col("x.cue").alias("cue"), F.col("x.start").alias("start"), F.col("x.end").alias("end"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, mender, held = None, Mender(), None
+        schema = None
+        for batch in batches:
+            schema, done = batch.schema, []
+            for b, number, start, end in zip(*(c.to_pylist() for c in batch.columns)):
+                if held is not None and b != at:
+                    done.append((at, held, mender.start, mender.end))
+                    mender = Mender()
+                settled = mender.follows(start, end)
+                if settled is not None:
+                    done.append((at, held, *settled))
+                at, held = b, number
+            yield _rows(done, schema)
+        if held is not None:
+            yield _rows([(at, held, mender.start, mender.end)], schema)
+
+    rows = cue.select(book, "cue", "start", "end")
+    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
+    fixed = rows.repartition(book).sortWithinPartitions(book, "cue").mapInArrow(scan, schema)
     return cue.drop("start", "end").join(fixed, [book, "cue"])
 
 
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], names=schema.names)
+
+
 def wrapped(cue: DataFrame) -> DataFrame:
     return cue.withColumn("text", T.wrap_balanced(F.col("text")))
 
@@ -170,30 +202,36 @@ def transcript_parts(chunks: DataFrame, book: str) -> DataFrame:
 
 
 def report(cue: DataFrame, words: DataFrame, chunks: DataFrame, book: str) -> DataFrame:
-    """The thirteen metrics of every book, and ``inverted_cues`` (end before start)."""
+    """The thirteen metrics of every book that has chunks, and ``inverted_cues`` (end before start).
+
+    Cues, words and chunks are one union under one aggregate by book.
+    """
     order = W.partitionBy(book).orderBy("cue")
     length = F.col("end") - F.col("start")
-    rows = cue.withColumn("next", F.lead("start").over(order)).withColumn("cps", T.characters_per_second(F.col("text"), length))
-    by_cue = rows.groupBy(book).agg(
-        F.count("*").alias("cues"),
-        F.min_by("start", "cue").alias("first_cue_start"),
-        F.max_by("end", "cue").alias("last_cue_end"),
-        F.max(F.array_max(F.transform(F.split("text", "\n"), F.length))).cast("long").alias("max_line_length"),
-        F.max(length).alias("max_cue_duration"),
-        F.count_if(F.col("end") >= F.col("next")).alias("overlap_count"),
+    cue = cue.withColumn("next", F.lead("start").over(order)).withColumn("cps", T.characters_per_second(F.col("text"), length))
+    wide = F.array_max(F.transform(F.split("text", "\n"), F.length)).cast("long")
+    rows = cue.select(book, F.lit("cue").alias("kind"), F.col("cue").cast("long").alias("number"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), "next", "cps", wide.alias("wide"))
+    rows = rows.unionByName(words.select(book, F.lit("word").alias("kind"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end")), allowMissingColumns=True)
+    rows = rows.unionByName(chunks.select(book, F.lit("chunk").alias("kind"), F.col("chunk_pos").cast("long").alias("number"), "id", "surface_restored"), allowMissingColumns=True)
+    is_cue, is_word, is_chunk = (F.col("kind") == k for k in ("cue", "word", "chunk"))
+    failed = F.transform(F.sort_array(F.collect_list(F.when(is_chunk & ~F.col("surface_restored"), F.struct("number", "id")))), lambda x: x["id"])
+    out = rows.groupBy(book).agg(
+        F.count_if(is_chunk).alias("chunks"),
+        failed.alias("surface_restore_failures"),
+        F.count_if(is_word).alias("words"),
+        F.count_if(is_word & (F.col("end") == F.col("start"))).alias("zero_duration_words_from_aligner_quantization"),
+        F.count_if(is_word & (F.col("end") < F.col("start"))).alias("negative_word_timings"),
+        F.count_if(is_cue).alias("cues"),
+        F.min_by(F.when(is_cue, F.col("start")), F.when(is_cue, F.col("number"))).alias("first_cue_start"),
+        F.max_by(F.when(is_cue, F.col("end")), F.when(is_cue, F.col("number"))).alias("last_cue_end"),
+        F.max("wide").alias("max_line_length"),
+        F.max(F.when(is_cue, length)).alias("max_cue_duration"),
+        F.count_if(is_cue & (F.col("end") >= F.col("next"))).alias("overlap_count"),
         F.count_if(F.col("cps") > 25).alias("cues_over_25_cps"),
         F.round(F.max("cps"), 3).alias("max_cps"),
-        F.count_if(length < 0).alias("inverted_cues"),
-    )
-    by_word = words.groupBy(book).agg(
-        F.count("*").alias("words"),
-        F.count_if(F.col("end") == F.col("start")).alias("zero_duration_words_from_aligner_quantization"),
-        F.count_if(F.col("end") < F.col("start")).alias("negative_word_timings"),
+        F.count_if(is_cue & (length < 0)).alias("inverted_cues"),
     )
-    failed = F.transform(F.sort_array(F.collect_list(F.when(~F.col("surface_restored"), F.struct("chunk_pos", "id")))), lambda x: x["id"])
-    by_chunk = chunks.groupBy(book).agg(F.count("*").alias("chunks"), failed.alias("surface_restore_failures"))
-    zero = ["words", "cues", "max_line_length", "max_cue_duration", "overlap_count", "cues_over_25_cps", "max_cps", "inverted_cues", "zero_duration_words_from_aligner_quantization", "negative_word_timings"]
-    return by_chunk.join(by_word, book, "left").join(by_cue, book, "left").fillna(0, subset=zero)
+    return out.where("chunks > 0").fillna(0, subset=["max_line_length", "max_cue_duration", "max_cps"])
 
 
 def event_islands(rows: DataFrame, key: str, time: Column, seq: str, gap: float) -> DataFrame:

@@ -9,13 +9,6 @@ from pyspark.sql import functions as F
 from cuelattice.functions.text import normal_token
 
 
-def ranges(rows: DataFrame, key: list[str], pos: str, text: str) -> DataFrame:
-    """Rows with ``norm`` and its character range [lo, hi) in the concatenation of the key's norms."""
-    order = W.partitionBy(*key).orderBy(pos)
-    sized = rows.withColumn("norm", normal_token(F.col(text)))
-    return sized.withColumn("hi", F.sum(F.length("norm")).over(order)).withColumn("lo", F.col("hi") - F.length("norm"))
-
-
 def restore(surfaces: DataFrame, items: DataFrame, key: str = "id") -> DataFrame:
     """(key, pos, text, start, end, restored) of every word.
 
@@ -23,17 +16,36 @@ def restore(surfaces: DataFrame, items: DataFrame, key: str = "id") -> DataFrame
     restored if both sides have the same characters, at least one, and every surface token
     overlaps an item; it takes the first item's start and the last one's end. Otherwise its
     items come back as they are. A token without letters or digits has an empty range,
-    overlaps nothing at an item's edge, and so leaves its chunk unrestored. The overlap join
-    is an equality on the chunk with a range condition, so it is bounded by a chunk's words.
+    overlaps nothing at an item's edge, and so leaves its chunk unrestored.
+
+    Both sides are dealt by chunk once. Items and tokens lie on one line of characters: a
+    token asks for the item at its first and at its last character, which is the last item
+    that begins there or before. So the work is in proportion to the words, not to their pairs.
     """
-    s = ranges(surfaces, [key], "pos", "text").select(key, F.col("pos").alias("s_pos"), F.col("text").alias("s_text"), F.col("lo").alias("s_lo"), F.col("hi").alias("s_hi"), F.col("norm").alias("s_norm"))
-    i = ranges(items, [key], "pos", "text")
-    whole = lambda d, p, n: d.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(p, n))), lambda x: x[n]), "").alias(f"all_{n}"))
-    equal = whole(s, "s_pos", "s_norm").join(whole(i, "pos", "norm"), key).where("all_s_norm = all_norm AND all_s_norm <> ''").select(key)
-    over = s.join(i.select(key, "pos", "lo", "hi", "start", "end"), key).where("lo < s_hi AND hi > s_lo")
-    timed = over.groupBy(key, "s_pos").agg(F.min_by("start", "pos").alias("start"), F.max_by("end", "pos").alias("end"))
-    covered = s.join(timed, [key, "s_pos"], "left")
-    good = covered.groupBy(key).agg(F.bool_and(F.col("start").isNotNull()).alias("all")).where("all").select(key).join(equal, key)
-    restored = covered.join(good, key, "left_semi").select(key, F.col("s_pos").alias("pos"), F.col("s_text").alias("text"), "start", "end", F.lit(True).alias("restored"))
-    raw = items.join(good, key, "left_anti").select(key, "pos", "text", "start", "end", F.lit(False).alias("restored"))
+    none = lambda t: F.lit(None).cast(t)
+    kinds = dict(items.dtypes)
+    tokens = surfaces.select(key, F.lit(1).alias("side"), F.col("pos").cast("long").alias("pos"), "text", none(kinds["start"]).alias("start"), none(kinds["end"]).alias("end"))
+    rows = tokens.union(items.select(key, F.lit(0), F.col("pos").cast("long"), "text", "start", "end")).repartition(key)
+    one_side = W.partitionBy(key, "side").orderBy("pos")
+    rows = rows.withColumn("norm", normal_token(F.col("text"))).withColumn("hi", F.sum(F.length("norm")).over(one_side)).withColumn("lo", F.col("hi") - F.length("norm"))
+    letters = lambda side: F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "norm")))), lambda x: x["norm"]), "")
+    same = rows.groupBy(F.col(key).alias("same_key")).agg(letters(0).alias("a"), letters(1).alias("b")).select("same_key", ((F.col("a") == F.col("b")) & (F.col("a") != "")).alias("same"))
+    # a token without characters asks for the item around its place
+    empty = F.col("lo") == F.col("hi")
+    asks = F.array(F.struct(F.when(empty, F.col("lo") - 1).otherwise(F.col("lo")).alias("at"), F.lit(1).alias("turn")), F.struct((F.col("hi") - 1).alias("at"), F.lit(2).alias("turn")))
+    places = F.when(F.col("side") == 1, asks).otherwise(F.array(F.struct(F.col("lo").alias("at"), F.lit(0).alias("turn"))))
+    line = rows.where("side = 1 OR hi > lo").select("*", F.explode(places).alias("p"))
+    before = W.partitionBy(key).orderBy("p.at", "p.turn", "pos").rowsBetween(W.unboundedPreceding, W.currentRow)
+    item = F.last(F.when(F.col("side") == 0, F.struct("start", "end", "hi")), ignorenulls=True).over(before)
+    asked = line.withColumn("item", item).where("side = 1")
+    first, last = F.col("p.turn") == 1, F.col("p.turn") == 2
+    timed = asked.groupBy(key, "pos").agg(
+        F.first("text").alias("text"),
+        F.max(F.when(first & ((F.col("hi") > F.col("lo")) | (F.col("item.hi") > F.col("hi"))), F.col("item.start"))).alias("start"),
+        F.max(F.when(last & ((F.col("hi") > F.col("lo")) | (F.col("item.hi") > F.col("hi"))), F.col("item.end"))).alias("end"),
+        F.bool_and(F.col("item").isNotNull() & ((F.col("hi") > F.col("lo")) | (F.col("item.hi") > F.col("hi")))).alias("met"),
+    )
+    good = timed.groupBy(F.col(key).alias("good_key")).agg(F.bool_and("met").alias("all")).join(same, F.col("good_key") == F.col("same_key")).where("all AND same").select("good_key")
+    restored = timed.join(good, F.col(key) == F.col("good_key"), "left_semi").select(key, "pos", "text", "start", "end", F.lit(True).alias("restored"))
+    raw = rows.where("side = 0").join(good, F.col(key) == F.col("good_key"), "left_anti").select(key, "pos", "text", "start", "end", F.lit(False).alias("restored"))
     return restored.union(raw)

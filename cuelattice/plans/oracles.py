@@ -90,6 +90,21 @@ _REPAIRED = _TIMED_CUES + """,
             a := array_to_string(t[:i], ' '), b := array_to_string(t[i + 1:], ' '))), lambda x: length(x.a) <= 42 AND length(x.b) <= 42)) AS best FROM parts),
     final AS (SELECT doc_id, cue, "start", "end", CASE WHEN length(text) <= 42 OR best IS NULL THEN text ELSE best.a || chr(10) || best.b END AS text FROM best)"""
 
+# the planner's rule for one chunk, as an expression in b (its first frame) and n (the chapter's frames); 100 frames a second, windows of five
+_SAMPLE = "((((start_frame + {i}) * 7919 + k * 31) % 1000) / 1000e0)::FLOAT::DOUBLE"
+_LOUD = f"list_transform(range((least(b + 24000, b + 27000, n - 6000) - b - 18000) // 5), lambda w: sqrt(list_sum(list_transform(range(5), lambda j: power({_SAMPLE.format(i='b + 18000 + 5 * w + j')}, 2))) / 5 + 1e-12))"
+_QUIET = """list_transform([{loud}], lambda l: list_transform([struct_pack(l := l, t := list_aggregate(l, 'quantile_cont', 0.08))], lambda s: list_sort(list_transform(
+    list_filter(range(len(s.l)), lambda w: s.l[w + 1] <= s.t), lambda w: struct_pack(d := abs(w - 600), w := w)))[1].w)[1])[1]""".format(loud=_LOUD)
+_END = f"CASE WHEN n - b <= 27000 THEN n WHEN least(b + 24000, n - 6000) - b - 18000 < 10 THEN b + 21000 ELSE b + 18000 + 5 * ({_QUIET}) + 2 END"
+_PLANNER = f"""WITH RECURSIVE ch AS (
+        SELECT n_name AS book_id, n_nationkey::BIGINT AS k, 0::BIGINT AS chapter_id, 'Preface' AS chapter_title, 0::BIGINT AS start_frame, 5001::BIGINT AS n FROM nation
+        UNION ALL SELECT n_name, n_nationkey, 1, 'The rest', 5001, n_nationkey * 4000 + 20000 - 5001 FROM nation),
+    walk AS (SELECT *, 1::BIGINT AS part, 0::BIGINT AS a, ({_END})::BIGINT AS e FROM (SELECT *, 0::BIGINT AS b FROM ch)
+        UNION ALL SELECT book_id, k, chapter_id, chapter_title, start_frame, n, b, part, a, ({_END})::BIGINT
+            FROM (SELECT book_id, k, chapter_id, chapter_title, start_frame, n, e AS b, part + 1 AS part, e AS a FROM walk WHERE e < n))
+    SELECT book_id, printf('c%02d_p%02d', chapter_id, part) AS id, chapter_id, chapter_title, part, start_frame + a AS start_frame, start_frame + e AS end_frame,
+        round((start_frame + a) / 100, 3) AS "start", round((start_frame + e) / 100, 3) AS "end", round((e - a) / 100, 3) AS duration FROM walk"""
+
 ORACLES: dict[str, str] = {
     "lexical_counts": rf"""SELECT doc_id, len(list_filter(string_split_regex(coalesce(text, ''), '\s+'), lambda x: x <> ''))::BIGINT AS tokens,
         len({_LEX.format("coalesce(text, '')")})::BIGINT AS lexical_words FROM documents""",
@@ -172,7 +187,14 @@ ORACLES: dict[str, str] = {
         r AS (SELECT user_id, w, sqrt(avg(value * value) + 1e-12) AS rms FROM s GROUP BY 1, 2 HAVING count(*) = 4),
         q AS (SELECT user_id, quantile_cont(rms, 0.08) AS threshold, count(*) AS windows FROM r GROUP BY 1)
         SELECT user_id, arg_min(w, abs(w - 5) * 1000000 + w) AS "window", round(any_value(threshold), 6) AS threshold, any_value(windows) AS windows FROM r JOIN q USING (user_id) WHERE rms <= threshold GROUP BY user_id""",
-    "content_hash": "SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents",
-    "verification_report": "SELECT l_orderkey, round(sum(l_quantity) / 10, 3) AS output_duration, sum(l_quantity)::BIGINT AS output_size, count(*) AS chapter_count FROM lineitem GROUP BY 1",
-    "incremental_resume": "SELECT doc_id, n_chars FROM documents",
+    "content_hash": "SELECT n_nationkey::BIGINT AS nationkey, sha256(n_name || chr(10)) AS sha256 FROM nation",
+    "verification_report": """WITH p AS (SELECT sum(l_quantity)::BIGINT AS q, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+        SELECT q + 0.25e0 AS source_duration, q + 0.5e0 AS output_duration, q AS output_size, 'subrip' AS codec, n AS chapter_count, count(*) AS orders FROM p GROUP BY q, n""",
+    "incremental_resume": "SELECT doc_id, n_chars::BIGINT + 1 AS n_plus, CASE WHEN doc_id % 2 = 0 THEN 0 ELSE 1 END::BIGINT AS run FROM documents",
+    "checkpoint_files": """WITH u AS (SELECT 'u' || user_id AS id, min(event_id) AS a, max(event_id) AS b FROM events GROUP BY 1)
+        SELECT id, CASE WHEN b % 3 <> 1 THEN b ELSE a END AS event_id FROM u WHERE a % 3 <> 0 OR b % 3 <> 1""",
+    "composed_map": """WITH m AS (SELECT l_orderkey AS k, l_linenumber AS i, min(l_partkey % 7) AS j FROM lineitem GROUP BY 1, 2)
+        SELECT m.k, m.i::BIGINT AS a_idx, m.j::BIGINT AS q_idx, (min(n.i) * 10)::BIGINT AS w_idx FROM m JOIN m n ON m.k = n.k AND m.j = n.j GROUP BY 1, 2, 3""",
+    "purged_checkpoint": "SELECT event_id, event_id % 5 NOT IN (0, 1) AS kept FROM events",
+    "chunk_planner": _PLANNER,
 }

@@ -1,4 +1,7 @@
-"""The engine's registered queries; their DuckDB SQL is in ``oracles``."""
+"""The engine's registered queries; their DuckDB SQL is in ``oracles``.
+
+Queries of sources and sinks write files below the shared scratch folder and read them again.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +16,9 @@ from cuelattice.functions import text as T
 from cuelattice.operators import captions, chunks, fusion, reconcile, records, surface
 from cuelattice.plans import fixtures as X
 from cuelattice.plans.oracles import ORACLES
-from cuelattice.sources import readers
+from cuelattice.sources import readers, schemas, sinks
+from cuelattice.sources.scratch import scratch
+from cuelattice.streaming import incremental
 
 __all__ = ["ORACLES", "QUERIES"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -294,12 +299,15 @@ def rms_quiet_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def chunk_planner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each nation a chapter whose signal is a deterministic wave; frames are 100 a second."""
-    nations = X.table(spark, sf_dir, "nation")
-    size = F.col("n_nationkey") * 4000 + 20_000
-    wave = F.transform(F.sequence(F.lit(0), size - 1), lambda i: (((i * 7919 + F.col("n_nationkey") * 31) % 1000) / 1000.0).cast("float"))
-    chapters = nations.select(F.lit("b").alias("book_id"), F.col("n_nationkey").alias("chapter_id"), F.col("n_name").alias("chapter_title"), F.lit(0).cast("long").alias("start_frame"), size.cast("long").alias("end_frame"), F.lit(100).alias("rate"), wave.alias("samples"))
-    return chunks.plan(chapters)
+    """Each nation a book of a short and a long chapter, whose end is told too late, over a deterministic wave of 100 frames a second in blocks."""
+    nations = X.table(spark, sf_dir, "nation").select(F.col("n_name").alias("book_id"), F.col("n_nationkey").alias("k"), (F.col("n_nationkey") * 4000 + 20_000).cast("long").alias("frames"))
+    chapter = lambda i, title, start, end: F.struct(F.lit(i).alias("chapter_id"), F.lit(title).alias("chapter_title"), start.cast("long").alias("start_frame"), end.cast("long").alias("end_frame"))
+    parts = F.array(chapter(0, "Preface", F.lit(0), F.lit(5001)), chapter(1, "The rest", F.lit(5001), F.col("frames") + 999))
+    blocks = nations.select("book_id", "k", "frames", F.explode(F.sequence(F.lit(0).cast("long"), F.col("frames") - 1, F.lit(4096).cast("long"))).alias("start_frame"))
+    wave = F.transform(F.sequence(F.col("start_frame"), F.least(F.col("start_frame") + 4095, F.col("frames") - 1)), lambda i: (((i * 7919 + F.col("k") * 31) % 1000) / 1000.0).cast("float"))
+    audio = blocks.select("book_id", "start_frame", wave.alias("samples"))
+    out = chunks.plan(nations.select("book_id", F.explode(parts).alias("c")).select("book_id", "c.*"), audio, rate=100)
+    return out.withColumns({c: long(F.col(c)) for c in ("chapter_id", "part", "start_frame", "end_frame")})
 
 
 @query
@@ -334,19 +342,69 @@ def consensus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.table(spark, sf_dir, "documents").select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))
+    """Hashes of files: a JSON file of each nation, written and read again by the sink's way."""
+    nations = X.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("part"), F.col("n_name").alias("value"))
+    path = scratch(spark, "hashed")
+    nations.repartition("part").write.partitionBy("part").text(path)
+    found = sinks.hashes(spark, f"{path}/part=*/*.txt")
+    return found.select(long(F.regexp_extract("path", r"part=(\d+)/", 1)).alias("nationkey"), "sha256")
 
 
 @query
 def verification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as probed media: one stream per line item."""
+    """Orders as probed media: probes are written as JSON, a chapter for each line item, and read with the explicit schema."""
     items = X.table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("n"), F.sum("l_quantity").alias("q"))
-    return items.select("l_orderkey", F.round(F.col("q") / 10, 3).alias("output_duration"), long(F.col("q")).alias("output_size"), F.col("n").alias("chapter_count"))
+    text = lambda c: F.concat(c.cast("long").cast("string"), F.lit(".5"))
+    probe = items.select(
+        F.struct(text(F.col("q")).alias("duration"), F.col("q").cast("long").cast("string").alias("size"), F.col("l_orderkey").cast("string").alias("filename")).alias("format"),
+        F.array(F.struct(F.lit(0).alias("index"), F.lit("subrip").alias("codec_name"), F.lit("subtitle").alias("codec_type"))).alias("streams"),
+        F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda i: F.struct(i.alias("id"))).alias("chapters"),
+    )
+    path = scratch(spark, "probes")
+    probe.write.json(path)
+    read = spark.read.schema(schemas.MEDIA).json(path)
+    out = readers.verification(read, F.col("format.duration").cast("double") - 0.25)
+    return out.groupBy("source_duration", "output_duration", "output_size", F.col("streams")[0]["codec_name"].alias("codec"), long(F.col("chapter_count")).alias("chapter_count")).agg(F.count("*").alias("orders"))
 
 
 @query
 def incremental_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pending documents after a first half was recorded: two runs of the batch form of resume."""
+    """Documents arrive as files in two halves that overlap, with a run after each and one that finds nothing new."""
     docs = X.table(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").cast("long").alias("n_chars"))
-    first = docs.where("doc_id % 2 = 0")
-    return first.union(records.pending(docs, first, "doc_id"))
+    path = scratch(spark, "incremental")
+    schema = "doc_id long, n_chars long, run int"
+    for run, part in enumerate(("doc_id % 2 = 0", "doc_id % 3 = 0 OR doc_id % 2 = 1", "false")):
+        docs.where(part).withColumn("run", F.lit(run)).write.mode("append").json(f"{path}/in")
+        incremental.resume(spark, f"{path}/in", schema, lambda d: d.select("doc_id", (F.col("n_chars") + 1).alias("n_plus"), "run"), f"{path}/out", f"{path}/state", "doc_id")
+    return incremental.results(spark, f"{path}/out").select("doc_id", "n_plus", long(F.col("run")).alias("run"))
+
+
+@query
+def checkpoint_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records appended in two commits, some keys twice, read back with the last one winning; blank lines do not count."""
+    events = X.table(spark, sf_dir, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"), "event_id")
+    path = scratch(spark, "records")
+    for name, newest in (("a", F.min("event_id")), ("b", F.max("event_id"))):
+        one = events.groupBy("id").agg(newest.alias("event_id")).where(F.col("event_id") % 3 != (0 if name == "a" else 1))
+        sinks.append_records(one, f"{path}/{name}")
+    spark.createDataFrame([("",), (" ",)], "value string").write.mode("append").text(f"{path}/a")
+    return readers.records(spark, f"{path}/*", "id string, event_id long").select("id", "event_id")
+
+
+@query
+def composed_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two index maps through their middle index: line items by order and number, then by part and number."""
+    items = X.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("i"), (F.col("l_partkey") % 7).alias("j")).groupBy("k", "i").agg(F.min("j").alias("j"))
+    back = items.select("k", F.col("j").alias("i"), (F.col("i") * 10).alias("j")).groupBy("k", "i").agg(F.min("j").alias("j"))
+    out = fusion.compose(items, back, ["k"])
+    return out.select("k", long(F.col("a_idx")).alias("a_idx"), long(F.col("q_idx")).alias("q_idx"), long(F.col("w_idx")).alias("w_idx"))
+
+
+@query
+def purged_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A checkpoint without its failed edits, as a version of its own beside the old one."""
+    path = scratch(spark, "purge")
+    sinks.append_records(_methods(spark, sf_dir).withColumn("id", F.col("event_id").cast("string")), f"{path}/v1")
+    kept = sinks.purge(spark, f"{path}/v1", f"{path}/v2", "id string, method string")
+    before = spark.read.schema("id string, method string").json(f"{path}/v1")
+    return before.select("id").join(kept.select("id", F.lit(True).alias("kept")), "id", "left").select(long(F.col("id")).alias("event_id"), F.coalesce("kept", F.lit(False)).alias("kept"))

@@ -105,7 +105,7 @@ def test_resume_takes_new_files_once(spark, tmp_path):
     run()
     add(["b", "c"])
     run()
-    assert sorted(r.text for r in spark.read.parquet(f"{out}/batch=*").collect()) == ["A", "B", "C"]
+    assert sorted(r.text for r in incremental.results(spark, out).collect()) == ["A", "B", "C"]
 
 
 def test_word_sessions(spark, tmp_path):
