@@ -1,15 +1,18 @@
 """One book from chapters to captions, and a queue of books.
 
-Every stage is a table under the job's work folder, written once: a rerun reads what
-is there and goes on after it. The completion row is written last, so a job without it
-is taken up again, and a job with it is skipped.
+Every relational stage is a table under the job's work folder, written once; a model
+stage records its chunks in waves. A rerun reads what is there and goes on after it. The
+completion row is written last, so a job without it is taken up again, and a job with it
+is skipped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from cuelattice.functions import sequence as S
 from cuelattice.functions import text as T
 from cuelattice.operators import backends, captions, chunks, fusion, reconcile, records, surface
-from cuelattice.sources import sinks
+from cuelattice.sources import readers, sinks
 
 
 @dataclass(frozen=True)
@@ -81,48 +84,136 @@ def fused(aligned: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     return out.drop("fused", "n")
 
 
-def run_job(spark: SparkSession, job: dict, chapters: DataFrame, models: Models = STAND_INS, glossary: str = "") -> DataFrame:
-    """All stages of one job (id, work_dir, output_dir); returns its report.
+#: Chunks that a model stage records at once.
+WAVE = 256
 
-    ``chapters`` are rows of ``chunks.plan``. Outputs: srt, vtt, transcript, words and
-    report folders, the hashes of the caption files, and the completion row.
+
+def recorded(spark: SparkSession, path: str) -> DataFrame | None:
+    """All records of a model stage with the wave that wrote them; None before the first."""
+    return spark.read.option("basePath", path).parquet(f"{path}/wave=*") if exists(spark, path) else None
+
+
+def by_waves(spark: SparkSession, path: str, chunks_: DataFrame, work: Callable[[DataFrame], DataFrame], wave: int, retry: bool = False) -> DataFrame:
+    """The records of a model stage, one for each chunk; those of earlier runs are kept.
+
+    Chunks without a record are worked off in waves of ``wave`` in their order, each a
+    folder that appears as a whole, so a run that breaks off loses one wave at most. With
+    ``retry``, failed edits of earlier runs are taken up again; of several records the last counts.
+    """
+    known = recorded(spark, path)
+    first = 0
+    todo = chunks_.select("id", "chunk_pos")
+    if known is not None:
+        first = known.agg(F.max("wave")).first()[0] + 1
+        todo = records.pending(todo, records.purge_fallbacks(known) if retry else known)
+    ids = [r["id"] for r in todo.orderBy("chunk_pos").collect()]  # the chunks of one book
+    for number, at in enumerate(range(0, len(ids), wave), first):
+        some = spark.createDataFrame([(i,) for i in ids[at : at + wave]], "id string")
+        work(chunks_.join(F.broadcast(some), "id", "left_semi")).write.mode("overwrite").parquet(f"{path}/wave={number}")
+    known = recorded(spark, path)
+    if known is None:
+        raise ValueError("no chunks")
+    return records.last_wins(known, "id", "wave").drop("first_pos")
+
+
+def prepared_media(spark: SparkSession, job: dict) -> tuple[DataFrame, DataFrame]:
+    """Chapters and audio blocks of a job: ``source`` is a mono 16 kHz WAV file, and source.json beside it (same name) its probe.
+
+    Other media need a decoder, which is not part of the library.
     """
-    work, out = job["work_dir"], job["output_dir"]
-    number = F.row_number().over(W.partitionBy("book_id").orderBy("start_frame")) - 1
-    plan = stage(spark, work, "chunks", lambda: chunks.plan(chapters).withColumn("chunk_pos", number))
+    chapters = readers.chapters(spark, job["source"].rsplit(".", 1)[0] + ".json").withColumn("book_id", F.lit(job["id"]))
+    return chapters, readers.audio(spark, job["source"]).select(F.lit(job["id"]).alias("book_id"), "start_frame", "samples")
+
+
+Media = Callable[[SparkSession, dict], tuple[DataFrame, DataFrame]]
+
+
+@dataclass
+class Book:
+    """A job whose recognisers are done."""
+
+    job: dict
+    plan: DataFrame
+    first: DataFrame
+    second: DataFrame
+
+
+def prepare(spark: SparkSession, job: dict, models: Models = STAND_INS, media: Media = prepared_media, rate: int = 16_000, wave: int = WAVE) -> Book:
+    """Plan and both transcripts of a job, or what is left of them to do."""
+    work = job["work_dir"]
+
+    def planned() -> DataFrame:
+        rows = chunks.plan(*media(spark, job), rate=rate)
+        return rows.withColumn("chunk_pos", F.row_number().over(W.partitionBy("book_id").orderBy("start_frame")) - 1)
+
+    plan = stage(spark, work, "chunks", planned)
     chunks.summary(plan).collect()
-    a = stage(spark, work, "first", lambda: backends.transcribe(plan, models.first, "first"))
-    b = stage(spark, work, "second", lambda: backends.transcribe(plan, models.second, "second"))
-
-    def reconciled() -> DataFrame:
-        for side in (a, b):
-            records.require_complete(plan, side)
-        pairs = reconcile.candidate_pairs(plan.select("id", "chapter_title", "part"), a, b)
-        return reconcile.records(reconcile.consensus(pairs, models.editor, models.label, glossary=glossary), models.label)
-
-    text = stage(spark, work, "consensus", reconciled)
-    records.require_complete(plan, text)
-    aligned = stage(spark, work, "aligned", lambda: restored(backends.transcribe(plan.join(text.select("id", "text"), "id"), models.aligner, "aligner")))
-    final = stage(spark, work, "fused", lambda: fused(aligned, a, b))
+    if not exists(spark, f"{work}/manifest/_SUCCESS"):
+        sinks.write_manifest(plan, f"{work}/manifest", job.get("source") or job["id"])
+    a = by_waves(spark, f"{work}/first", plan, lambda rows: backends.transcribe(rows, models.first, "first"), wave)
+    b = by_waves(spark, f"{work}/second", plan, lambda rows: backends.transcribe(rows, models.second, "second"), wave)
+    return Book(job, plan, a, b)
+
+
+def edit(spark: SparkSession, book: Book, models: Models = STAND_INS, wave: int = WAVE) -> DataFrame:
+    """The consensus of a prepared job; failed edits of earlier runs are asked for again."""
+    for side in (book.first, book.second):
+        records.require_complete(book.plan, side)
+    terms = readers.glossary(spark, book.job.get("glossary"))
+
+    def work(rows: DataFrame) -> DataFrame:
+        pairs = reconcile.candidate_pairs(rows.select("id", "chapter_title", "part"), book.first, book.second)
+        return reconcile.records(reconcile.consensus(pairs, models.editor, models.label, glossary=terms), models.label)
+
+    return by_waves(spark, f"{book.job['work_dir']}/consensus", book.plan, work, wave, retry=True)
+
+
+def finish(spark: SparkSession, book: Book, text: DataFrame, models: Models = STAND_INS, wave: int = WAVE) -> DataFrame:
+    """Alignment, fusion, captions and files of an edited job; returns its report."""
+    job, work, out = book.job, book.job["work_dir"], book.job["output_dir"]
+    records.require_complete(book.plan, text)
+    with_text = book.plan.join(text.select("id", "text"), "id")
+    aligned = by_waves(spark, f"{work}/aligned", with_text, lambda rows: restored(backends.transcribe(rows, models.aligner, "aligner")), wave)
+    records.require_complete(book.plan, aligned)
+    final = stage(spark, work, "fused", lambda: fused(aligned, book.first, book.second))
     words = final.select("book_id", "chunk_pos", F.posexplode("words").alias("word_pos", "w")).select("book_id", "chunk_pos", "word_pos", "w.*")
     cut = stage(spark, work, "words", lambda: captions.segment(captions.islands(captions.sorted_words(words, "book_id"), "book_id"), "book_id"))
     cue = stage(spark, work, "cues", lambda: captions.wrapped(captions.repair(captions.timed(captions.cues(cut, "book_id"), "book_id"), "book_id")))
-    sinks.write_blocks(captions.srt_blocks(cue, "book_id"), f"{out}/srt", "book_id", "cue")
-    sinks.write_blocks(captions.vtt_blocks(cue, "book_id"), f"{out}/vtt", "book_id", "cue", head="WEBVTT\n\n")
-    sinks.write_transcripts(captions.transcript_parts(final, "book_id"), f"{out}/transcript", "book_id")
-    cut.select("book_id", "pos", "text", "start", "end").repartition("book_id").sortWithinPartitions("book_id", "pos").write.mode("overwrite").partitionBy("book_id").json(f"{out}/words")
-    report = captions.report(cue, cut, final, "book_id")
-    sinks.write_report(report, f"{out}/report")
-    sinks.hashes(spark, f"{out}/*t/book_id=*/*.txt").write.mode("overwrite").json(f"{out}/sha256")
+    report = stage(spark, work, "report", lambda: captions.report(cue, cut, final, "book_id"))
+    sinks.write_book(cue, cut, final, report, out, job.get("basename") or job["id"], "book_id")
     sinks.mark_complete(spark, f"{work}/complete", job["id"])
-    return spark.read.schema(report.schema).json(f"{out}/report")
+    return report
+
 
+def run_job(spark: SparkSession, job: dict, models: Models = STAND_INS, media: Media = prepared_media, rate: int = 16_000, wave: int = WAVE) -> DataFrame:
+    """All stages of one job (id, source, work_dir, output_dir, basename, glossary, as ``readers.queue`` describes it); returns its report.
 
-def run_queue(spark: SparkSession, jobs: list[dict], chapters: Callable[[dict], DataFrame], models: Models = STAND_INS) -> list[str]:
-    """Run the jobs that are not complete, one after another; returns their ids."""
-    done = []
-    for job in jobs:
-        if not exists(spark, f"{job['work_dir']}/complete/_SUCCESS"):
-            run_job(spark, job, chapters(job), models)
-            done.append(job["id"])
+    A rerun takes up what is missing: whole tables of relational stages, single chunks of
+    model stages.
+    """
+    book = prepare(spark, job, models, media, rate, wave)
+    return finish(spark, book, edit(spark, book, models, wave), models, wave)
+
+
+def run_queue(spark: SparkSession, jobs: list[dict], models: Models = STAND_INS, media: Media = prepared_media, rate: int = 16_000, wave: int = WAVE) -> list[str]:
+    """Run the jobs that are not complete; returns their ids.
+
+    While a job is edited, which waits for another machine, the next one is transcribed;
+    then the first is finished.
+    """
+    done: list[str] = []
+    with ThreadPoolExecutor(1) as aside:
+        before = None
+        for job in jobs:
+            if exists(spark, f"{job['work_dir']}/complete/_SUCCESS"):
+                continue
+            book = prepare(spark, job, models, media, rate, wave)
+            edited = aside.submit(inheritable_thread_target(spark)(edit), spark, book, models, wave)
+            if before is not None:
+                finish(spark, before[0], before[1].result(), models, wave)
+                done.append(before[0].job["id"])
+            before = (book, edited)
+        if before is not None:
+            finish(spark, before[0], before[1].result(), models, wave)
+            done.append(before[0].job["id"])
     return done
