@@ -197,4 +197,11 @@ ORACLES: dict[str, str] = {
         SELECT m.k, m.i::BIGINT AS a_idx, m.j::BIGINT AS q_idx, (min(n.i) * 10)::BIGINT AS w_idx FROM m JOIN m n ON m.k = n.k AND m.j = n.j GROUP BY 1, 2, 3""",
     "purged_checkpoint": "SELECT event_id, event_id % 5 NOT IN (0, 1) AS kept FROM events",
     "chunk_planner": _PLANNER,
+    "manifest_files": """SELECT 'book.wav' AS book_id, row_number() OVER (ORDER BY n_nationkey) - 1 AS chunk_pos, printf('c%02d_p01', n_nationkey) AS id, n_name AS chapter_title,
+        n_nationkey * 3e0 AS "start", n_nationkey * 3e0 + 2.5e0 AS "end", 2.5e0 AS duration FROM nation""",
+    "chapter_probes": """SELECT n_nationkey::BIGINT AS chapter_id, CASE WHEN n_nationkey % 3 <> 0 THEN n_name ELSE 'Chapter ' || n_nationkey END AS chapter_title,
+        round_even(printf('%d.%05d', n_nationkey * 60, n_nationkey * 1111)::DOUBLE * 16000, 0)::BIGINT AS start_frame, ((n_nationkey * 60 + 55) * 16000 + 8000)::BIGINT AS end_frame FROM nation""",
+    "stand_in_transcripts": f"""WITH {_CHUNKS} SELECT book_id, printf('c%02d_p%02d', chapter_id, part) AS id, 'stand-in' AS model, chapter_title AS text, 2::BIGINT AS words,
+        round(start_frame / 16000, 3) AS first_start, round(round(start_frame / 16000, 3) + round((end_frame - start_frame) / 16000, 3), 3) AS last_end FROM chunk""",
+    "completed_jobs": "SELECT 'r' || n_regionkey AS id, n_name FROM nation WHERE n_regionkey % 2 = 1",
 }

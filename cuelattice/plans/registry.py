@@ -408,3 +408,50 @@ def purged_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = sinks.purge(spark, f"{path}/v1", f"{path}/v2", "id string, method string")
     before = spark.read.schema("id string, method string").json(f"{path}/v1")
     return before.select("id").join(kept.select("id", F.lit(True).alias("kept")), "id", "left").select(long(F.col("id")).alias("event_id"), F.coalesce("kept", F.lit(False)).alias("kept"))
+
+
+@query
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as chunks of a book, written as its manifest and read back in the manifest's order."""
+    order = W.orderBy("n_nationkey")  # 25 rows
+    n = F.col("n_nationkey").cast("long")
+    rows = X.table(spark, sf_dir, "nation").select(
+        F.lit("book").alias("book_id"), (F.row_number().over(order) - 1).alias("chunk_pos"), n.cast("int").alias("chapter_id"), F.col("n_name").alias("chapter_title"),
+        F.lit(1).alias("part"), (n * 48_000).alias("start_frame"), (n * 48_000 + 40_000).alias("end_frame"),
+    )
+    path = scratch(spark, "manifest")
+    plan = chunks.described(rows).join(rows.select("chapter_id", "chunk_pos"), "chapter_id")
+    sinks.write_manifest(plan, path, "book.wav")
+    back = readers.manifest(spark, path)
+    return back.select("book_id", long(F.col("chunk_pos")).alias("chunk_pos"), "id", "chapter_title", "start", "end", "duration")
+
+
+@query
+def chapter_probes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probes of regions, a chapter for each nation, every third without a title, written as JSON and read as chapters."""
+    n = F.col("n_nationkey").cast("int")
+    tags = F.when(n % 3 != 0, F.create_map(F.lit("title"), F.col("n_name"))).otherwise(F.create_map(F.lit("lang"), F.lit("en")))
+    chapter = F.struct(n.alias("id"), F.format_string("%d.%05d", n * 60, n * 1111).alias("start_time"), F.format_string("%d.5", n * 60 + 55).alias("end_time"), tags.alias("tags"))
+    probes = X.table(spark, sf_dir, "nation").groupBy("n_regionkey").agg(F.collect_list(chapter).alias("chapters"))
+    path = scratch(spark, "probe")
+    probes.repartition("n_regionkey").write.partitionBy("n_regionkey").json(path)  # a probe is a file of its own
+    return readers.chapters(spark, f"{path}/*").select(long(F.col("chapter_id")).alias("chapter_id"), "chapter_title", "start_frame", "end_frame")
+
+
+@query
+def stand_in_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks through a recogniser backend: the words of the title, spread evenly, in absolute time."""
+    from cuelattice.operators import backends
+
+    out = backends.transcribe(chunks.described(X.chunks(spark, sf_dir)), backends.even_spread_factory, "stand-in")
+    return out.select("book_id", "id", "model", "text", long(F.size("words")).alias("words"), F.col("words")[0]["start"].alias("first_start"), F.element_at("words", -1)["end"].alias("last_end"))
+
+
+@query
+def completed_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations whose region's job has no completion row; every second region has one."""
+    path = scratch(spark, "complete")
+    for r in X.table(spark, sf_dir, "region").where("r_regionkey % 2 = 0").orderBy("r_regionkey").collect():  # five rows at every scale
+        sinks.mark_complete(spark, path, f"r{r['r_regionkey']}")
+    jobs = X.table(spark, sf_dir, "nation").select(F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("id"), "n_name")
+    return records.unfinished(jobs, spark.read.parquet(path))
