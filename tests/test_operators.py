@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from cuelattice.operators import chunks, fusion, records, surface
+from cuelattice.operators import captions, chunks, fusion, records, surface
 
 
 def fuse_loop(words):
@@ -92,14 +92,73 @@ def test_planner_invariants(spark):
     rng = np.random.default_rng(0)
     samples = rng.normal(size=100 * 2000).astype(np.float32)
     samples[100 * 205 : 100 * 215] = 0
-    cuts = chunks.cut_chapter(samples, 100, 0, len(samples), 210.0, 30.0, 270.0)
-    assert cuts[0][0] == 0 and cuts[-1][1] == len(samples) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
-    assert 100 * 205 <= cuts[0][1] <= 100 * 215 and all(b - a <= 27_000 for a, b in cuts)
-    assert chunks.quiet_boundary(samples, 100, 50, 2, 45, 52) == 50
-    assert chunks.cut_chapter(samples, 100, 0, 0, 210.0, 30.0, 270.0) == []
-    rows = spark.createDataFrame([("b", 99, "T", 0, len(samples), 100, samples.tolist()), ("b", 100, "U", 7, 107, 100, samples[:100].tolist())], "book_id string, chapter_id int, chapter_title string, start_frame long, end_frame long, rate int, samples array<float>")
-    out = chunks.plan(rows).collect()
-    assert {r.id for r in out if r.chapter_id == 100} == {"c100_p01"} and len(out) == len(cuts) + 1
-    assert [(r.start_frame, r.end_frame) for r in out if r.chapter_id == 100] == [(7, 107)]
+    planner = chunks.Planner(100, 210.0, 30.0, 270.0)
+    first, energies = planner.energies(samples, 0)
+    cuts = list(planner.parts(energies, len(samples)))
+    assert first == 0 and cuts[0][0] == 0 and cuts[-1][1] == len(samples) and all(a[1] == b[0] for a, b in zip(cuts, cuts[1:]))
+    assert all(120 * 100 <= b - a <= 270 * 100 for a, b in cuts[:-1]) and abs(cuts[0][1] - 21_000) <= 5
+    assert list(planner.parts(np.empty(0), 0)) == []
+    # too few windows: the wanted end itself
+    assert planner.quietest(energies, 0, 18_000 + 6_000 + 9) == 21_000
+    # energies of a stretch that begins inside a cell add up to those of the whole
+    at, part = planner.energies(samples[7:1007], 7)
+    assert at == 7 // planner.cell and part.sum() == pytest.approx(float(np.square(samples[7:1007], dtype=np.float64).sum()))
+    chapters = spark.createDataFrame([("b", 3, "T", 500, 500 + len(samples))], "book_id string, chapter_id int, chapter_title string, start_frame long, end_frame long")
+    audio = spark.createDataFrame([("b", at, np.r_[np.zeros(500, np.float32), samples][at : at + 30_000].tolist()) for at in range(0, 500 + len(samples), 30_000)], "book_id string, start_frame long, samples array<float>")
+    out = chunks.plan(chapters, audio, rate=100).orderBy("start_frame").collect()
+    assert [(r.start_frame - 500, r.end_frame - 500) for r in out] == cuts and out[0].id == "c03_p01"
     with pytest.raises(Exception, match="no chapters"):
-        chunks.summary(chunks.described(rows.limit(0).selectExpr("book_id", "chapter_id", "chapter_title", "1 AS part", "start_frame", "end_frame"))).collect()
+        chunks.summary(chunks.described(chapters.limit(0).selectExpr("book_id", "chapter_id", "chapter_title", "1 AS part", "start_frame", "end_frame"))).collect()
+
+
+def test_surfaces_of_a_long_chunk(spark):
+    """Against a loop over overlaps, with empty tokens inside and at the edges of items."""
+    rng = random.Random(3)
+    letters = "".join(rng.choice("abcdefgh") for _ in range(600))
+
+    def cut(text, extra):
+        out, at = [], 0
+        while at < len(text):
+            n = rng.randint(1, 7)
+            out.append(text[at : at + n])
+            at += n
+            if rng.random() < extra:
+                out.append("--")
+        return out
+
+    for extra in (0.0, 0.03):
+        tokens, items = cut(letters, extra), cut(letters, 0.05)
+        s = spark.createDataFrame([("x", i, t) for i, t in enumerate(tokens)], "id string, pos int, text string")
+        i = spark.createDataFrame([("x", k, t, float(k), k + 0.5) for k, t in enumerate(items)], "id string, pos int, text string, start double, end double")
+        bare = lambda t: t.replace("-", "")
+        place = lambda parts: [(sum(len(bare(p)) for p in parts[:k]), sum(len(bare(p)) for p in parts[: k + 1])) for k in range(len(parts))]
+        want = []
+        for (lo, hi), t in zip(place(tokens), tokens):
+            met = [k for k, (a, b) in enumerate(place(items)) if a < hi and b > lo]
+            want.append((t, float(met[0]), met[-1] + 0.5, True) if met else None)
+        got = [(r.text, r.start, r.end, r.restored) for r in surface.restore(s, i).orderBy("pos").collect()]
+        assert got == (want if None not in want else [(t, float(k), k + 0.5, False) for k, t in enumerate(items)])
+
+
+def test_repair_reads_a_book_in_order(spark):
+    """Against a plain loop over lists, with equal and moved starts, in several books."""
+    rng, rows = random.Random(4), []
+    for book in "xyz":
+        at = 0.0
+        for cue in range(1, 120):
+            at += rng.choice([0.0, 0.0, 0.3, 2.0, 7.0, 20.0])
+            rows.append((book, cue, at, at + rng.choice([0.1, 1.0, 3.0, 6.5]), "t"))
+    want = {}
+    for book in "xyz":
+        c = [[r[2], r[3]] for r in rows if r[0] == book]
+        for k in range(len(c) - 1):
+            (s0, e0), (s1, _) = c[k], c[k + 1]
+            if e0 >= s1:
+                if s1 <= s0:
+                    c[k][1] = min(s0 + 6.5, max(e0, s0 + 0.8))
+                    c[k + 1][0] = c[k][1] + 0.04
+                else:
+                    c[k][1] = max(s0 + 0.01, s1 - 0.04)
+        want |= {(book, k + 1): tuple(x) for k, x in enumerate(c)}
+    df = spark.createDataFrame(rows, "book string, cue long, start double, end double, text string").repartition(5)
+    assert {(r.book, r.cue): (r.start, r.end) for r in captions.repair(df, "book").collect()} == want
