@@ -46,16 +46,26 @@ def arrow_batches(df: DataFrame, scan: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(lambda batches: scan(parted(batches, rows)), schema)
 
 
-def distinct_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, tag (hash of the text), text of every row with a doc_id; rows that repeat doc_id and text are one.
+def repeats(docs: DataFrame) -> bool:
+    """Whether several rows share a doc_id. Only identifiers are shuffled."""
+    return not docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+
+
+def text_tag(text: str, told: bool) -> Column:
+    """What tells rows of one doc_id apart: the hash of the text, or 0 where no doc_id is repeated (not ``told``)."""
+    return F.xxhash64(text) if told else F.lit(0).cast("long")
+
+
+def distinct_texts(docs: DataFrame, told: bool) -> DataFrame:
+    """doc_id, tag, text of every row with a doc_id; rows that repeat doc_id and text are one.
 
     Only rows that are repeated are shuffled with their texts.
     """
-    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    rows = docs.where(F.col("doc_id").isNotNull()).select("doc_id", text_tag("text", told).alias("tag"), "text")
+    if not told:
+        return rows
     times = rows.groupBy(F.col("doc_id").alias("twice_id"), F.col("tag").alias("twice_tag")).agg(F.count("*").alias("times")).where("times > 1")
     twice = materialise(times.drop("times"), "twice")
-    if twice.isEmpty():
-        return rows
     same = (F.col("doc_id") == F.col("twice_id")) & (F.col("tag") == F.col("twice_tag"))
     # written first, so that one of each is taken before anything meets by its key
     again = materialise(rows.join(twice, same, "left_semi"), "repeated")
@@ -78,25 +88,55 @@ def scratch_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Shuffle files of a finished write go at once instead of when the driver's memory is next swept.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts lineage and keeps a costly step from running twice. The files are
-    replicated like any other of that store, so that a lost executor loses none.
+    replicated like any other of that store, so that a lost executor loses none. They go with
+    ``release``, or at the end of the process.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    _written.add(path)
+    if len(_written) == 1:
+        atexit.register(_remove_all, spark)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cuelattice_path = path
+    return out
+
+
+#: Folders of this process that are still there.
+_written: set[str] = set()
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these; nothing that is still to run may read them."""
+    for table in tables:
+        _remove(table.sparkSession, table._cuelattice_path)
+        _written.discard(table._cuelattice_path)
 
 
 def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_all(spark: SparkSession) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session may be gone; the folder is scratch
+        for path in sorted(_written):
+            _remove(spark, path)
+    except Exception:  # noqa: BLE001  the session may have ended before the process; the folder is scratch
         pass
 
 
