@@ -11,11 +11,13 @@ ball of radius 1 instead, since two fingerprints are at distance 2 or less exact
 if these balls meet, and no point lies in more than 65 of them. So links are exact
 and rows stay in proportion to the fingerprints.
 
-Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8) are found by a
-prefix filter: in one order of all shingles, with frequent ones last, similar texts share
-a shingle among the first fifth of theirs. Members of a shingle are candidates if they
-share enough of these, and are verified on their full shingle sets. First each shingle
-links its members to one of them, which joins groups of copies in rows in proportion to
+Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8) start from the same
+fingerprints and links, on five-word shingles; each link is verified on the full shingle sets.
+Close copies are joined so, but at Jaccard 0.8 two fingerprints differ in ten bits of 64 on
+average, more than balls can enumerate. The rest is therefore found by a prefix filter: in one
+order of all shingles, with frequent ones last, similar texts share a shingle among the first
+fifth of theirs. Members of a shingle are candidates if they share enough of these, and are
+verified too. First each shingle links its members to one of them, in rows in proportion to
 the documents; then all its members that are not yet joined are paired off, so that
 the groups are exact.
 """
@@ -32,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cuelattice.llm.common import arrow_batches, materialise, whole_text
+from cuelattice.llm.common import arrow_batches, distinct_texts, materialise, release, repeats, text_tag
 from cuelattice.llm.graph import components
 
 SEED = 42
@@ -166,15 +168,14 @@ def frequent(docs: DataFrame, size: int) -> np.ndarray:
             found = [np.unique(shingle_hashes(words(t or ""), size)) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *found]).view(np.int64))], names=["key"])
 
-    arrow_batches(docs.sparkSession)
     one_in = max(1, docs.count() // SAMPLED)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text").mapInArrow(scan, "key long")
+    some = arrow_batches(docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(one_in)) == 0).select("text"), scan, "key long")
     often = some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "key").limit(FREQUENT)
     return np.sort(often.select("key").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 def prefixes(docs: DataFrame, size: int, similar: float) -> DataFrame:
-    """doc_id, n, prefix: the number of a text's shingles and the first of them in one order of all shingles.
+    """doc_id, fp, n, prefix: a text's fingerprint, the number of its shingles and the first of them in one order of all shingles.
 
     Texts of Jaccard similarity ``similar`` share a shingle of their prefixes, whatever
     the order is. Frequent shingles come last, so prefixes hold rare ones.
@@ -184,19 +185,21 @@ def prefixes(docs: DataFrame, size: int, similar: float) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = late.value
         for batch in batches:
-            sizes, found = [], []
+            sizes, found, fps = [], [], []
             for t in batch.column(1).to_pylist():
-                h = np.unique(shingle_hashes(words(t or ""), size))
+                h = shingle_hashes(words(t or ""), size)
+                fps.append(majority(h) if len(h) else 0)
+                h = np.unique(h)
                 if len(often):
                     at = np.minimum(np.searchsorted(often, h), len(often) - 1)
                     h = h[np.argsort(often[at] == h, kind="stable")]
                 sizes.append(len(h))
                 found.append(h[: prefix_length(len(h), similar)].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "n", "prefix"])
+            fp = pa.array(np.array(fps, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), fp, pa.array(sizes, pa.int32()), pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "fp", "n", "prefix"])
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, n int, prefix array<long>")
+    return arrow_batches(docs.select("doc_id", "text"), scan, f"doc_id {kind}, fp long, n int, prefix array<long>")
 
 
 def prefix_length(n: int, similar: float) -> int:
@@ -215,6 +218,15 @@ def _enough(pairs: DataFrame, similar: float) -> DataFrame:
     return counted.groupBy("u", "v", "u_n", "v_n").agg(F.count("*").alias("common")).where(F.col("common") + rest >= need).select("u", "v")
 
 
+def print_pairs(marked: DataFrame) -> DataFrame:
+    """(u, v) that may be similar: texts (doc_id, fp) with the least one of their fingerprint, and the least ones of linked fingerprints."""
+    least = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "least-of-print")
+    same = marked.select("doc_id", "fp").join(least, "fp").where("doc_id <> least").select(F.col("doc_id").alias("u"), F.col("least").alias("v"))
+    side = lambda at: least.select(F.col("fp").alias(at), F.col("least").alias(f"{at}_least"))
+    near = links(least.select("fp")).join(side("u"), "u").join(side("v"), "v")
+    return same.union(near.select(F.greatest("u_least", "v_least"), F.least("u_least", "v_least")))
+
+
 def hub_pairs(shared: DataFrame, similar: float) -> DataFrame:
     """(u, v) that may be similar: each key's members (doc_id, n, key) with the key's least doc_id."""
     hubs = shared.groupBy("key").agg(F.min(F.struct(F.col("doc_id").alias("id"), "n")).alias("hub"))
@@ -223,70 +235,86 @@ def hub_pairs(shared: DataFrame, similar: float) -> DataFrame:
 
 
 def open_pairs(shared: DataFrame, roots: DataFrame, similar: float) -> DataFrame:
-    """(u, v) that may be similar and are not joined yet: all pairs of each key's members with different roots (node, root)."""
-    rooted = shared.join(roots, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
+    """(u, v) that may be similar and are not joined yet: members of a key with different roots (node, root) whose places allow it.
+
+    After a pair's first common shingle come all others, so that both texts have at least the
+    common shingles that the similarity asks of their sizes from there on. Of a shingle that
+    many texts have in a late place, as frequent ones are, no pair is left; and the shorter
+    text of a pair has its first common shingle among the first 1 - 2 similar / (1 + similar).
+    """
+    rooted = shared.join(roots, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", "n", "pos", F.coalesce("root", "doc_id").alias("root"))
     parted = rooted.groupBy("key").agg(F.min("root").alias("one"), F.max("root").alias("other")).where("one <> other").select("key")
     left = materialise(rooted.join(parted, "key"), "open")
-    side = lambda at: left.select("key", F.col("doc_id").alias(at), F.col("n").alias(f"{at}_n"), F.col("root").alias(f"{at}_root"))
+    side = lambda at: left.select("key", F.col("doc_id").alias(at), F.col("n").alias(f"{at}_n"), F.col("pos").alias(f"{at}_pos"), F.col("root").alias(f"{at}_root"))
+    share = similar / (1 + similar)
+    need = F.lit(share) * (F.col("u_n") + F.col("v_n")) - 1e-6
+    allowed = (F.col("u_n") - F.col("u_pos") >= need) & (F.col("v_n") - F.col("v_pos") >= need) & (F.col("v_n") >= F.lit(similar) * F.col("u_n") - 1e-6)
+    shorter = (F.col("u_n") > F.col("v_n")) | ((F.col("u_n") == F.col("v_n")) & (F.col("u") > F.col("v")))
+    early = side("v").where(F.col("v_n") - F.col("v_pos") >= F.lit(2 * share) * F.col("v_n") - 1e-6)
     # a sort-merge join streams a crowded key, and adaptive execution splits it
-    both = side("u").join(side("v").hint("merge"), "key").where("u > v AND u_root <> v_root")
-    return _enough(both.select("u", "v", "u_n", "v_n"), similar)
+    both = side("u").join(early.hint("merge"), "key").where(shorter & allowed & (F.col("u_root") != F.col("v_root")))
+    return both.select("u", "v").distinct()
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, shingles: the distinct hashes (32 bits each, ascending) of the text's word shingles."""
+    """doc_id, shingles: the distinct hashes (64 bits each, ascending) of the text's word shingles."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(words(t or ""), size).astype(np.uint32)).tobytes() for t in batch.column(1).to_pylist()]
+            sets = [np.unique(shingle_hashes(words(t or ""), size)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
-    arrow_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, shingles binary")
+    return arrow_batches(docs.select("doc_id", "text"), scan, f"doc_id {kind}, shingles binary")
 
 
 def verified(docs: DataFrame, pairs: DataFrame, size: int, similar: float) -> DataFrame:
     """The pairs (u, v) whose full shingle sets reach the similarity."""
     wanted = pairs.select(F.col("u").alias("want_id")).union(pairs.select("v")).distinct()
-    sets = materialise(shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("want_id"), "left_semi"), size).dropDuplicates(["doc_id"]), "sets")
+    sets = materialise(shingle_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("want_id"), "left_semi"), size), "sets")
     side = lambda at: sets.select(F.col("doc_id").alias(at), F.col("shingles").alias(f"{at}_set"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                a, b = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 ok.append(both > 0 and both >= similar * (len(a) + len(b) - both))
             kept = batch.filter(pa.array(ok, pa.bool_()))
             yield kept.select(["u", "v"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    arrow_batches(docs.sparkSession)
-    return pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set").mapInArrow(scan, f"u {kind}, v {kind}")
+    return arrow_batches(pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "u_set", "v_set"), scan, f"u {kind}, v {kind}")
 
 
-def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
-    """(u, v) of documents whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``.
+def similar_links(docs: DataFrame, size: int = 5, similar: float = 0.8, told: bool | None = None) -> DataFrame:
+    """(u, v), structs (doc_id, tag), of texts whose ``size``-word shingle sets have a Jaccard similarity of at least ``similar``.
 
-    Every such pair is in the result or joined by a path of others that are.
+    Every such pair is in the result or joined by a path of others that are. A text is a
+    doc_id and, where doc_ids are repeated (``told``), the hash of its text.
     """
-    known = docs.where(F.col("doc_id").isNotNull())
-    marked = materialise(prefixes(known, size, similar).where("n > 0").dropDuplicates(["doc_id"]), "prefixes")
-    entries = marked.select("doc_id", "n", F.explode("prefix").alias("key"))
+    known = distinct_texts(docs, repeats(docs) if told is None else told).select(F.struct("doc_id", "tag").alias("doc_id"), "text")
+    marked = materialise(prefixes(known, size, similar).where("n > 0"), "prefixes")
+    entries = marked.select("doc_id", "n", F.posexplode("prefix").alias("pos", "key"))
     sizes = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(entries.join(sizes, "key"), "shared")
-    to_hubs = materialise(verified(known, materialise(hub_pairs(shared, similar), "candidates"), size, similar), "to-hubs")
-    further = materialise(open_pairs(shared, components(to_hubs), similar), "further")
-    return to_hubs.union(verified(known, further, size, similar))
+    first_look = materialise(print_pairs(marked).union(hub_pairs(shared, similar)).distinct(), "candidates")
+    found = materialise(verified(known, first_look, size, similar), "found")
+    further = materialise(open_pairs(shared, components(found), similar), "further")
+    release(shared, marked)
+    return found.union(verified(known, further, size, similar))
 
 
 def drop_near(docs: DataFrame, size: int = 5, similar: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each group of similar texts, the smallest doc_id.
+    """The rows of ``docs`` that stay, with all their columns: of each group of similar texts, the least (doc_id, text hash).
 
     A group is a connected component of similar pairs. Rows without doc_id, and null or
-    blank texts, are in no group and stay; rows that share a doc_id stay or go together.
+    blank texts, are in no group and stay; rows that repeat doc_id and text stay or go together,
+    rows that repeat the doc_id alone are texts of their own; doc_ids may be numbers or
+    strings; an empty table gives an empty result.
     """
-    gone = components(similar_links(docs, size, similar)).where("node <> root").select(F.col("node").alias("gone_id"))
-    return docs.select(F.struct("*").alias("row")).join(gone, F.col("row.doc_id") == F.col("gone_id"), "left_anti").select("row.*")
+    told = repeats(docs)
+    gone = components(similar_links(docs, size, similar, told)).where("node <> root").select(F.col("node.doc_id").alias("gone_id"), F.col("node.tag").alias("gone_tag"))
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, (F.col("row.doc_id") == F.col("gone_id")) & (text_tag("row.text", told) == F.col("gone_tag")), "left_anti").select("row.*")
