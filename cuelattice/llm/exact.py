@@ -6,8 +6,8 @@ full, and the smallest identifier of a run stays. Every text is shuffled once.
 
 A text that fills a large share of the table cannot be cut by its own bytes. Such
 texts are found on a sample (their number is bounded by the sample rule, not by
-the corpus), counted over all rows with map-side aggregation, and their rows enter
-the sort spread by identifier, so no range holds more than its part. Where the
+the corpus), counted over all rows with map-side aggregation, their least and greatest
+text are compared in full, and their rows enter the sort spread by identifier, so no range holds more than its part. Where the
 sample misses one, the result is the same and only that range is longer.
 """
 
@@ -50,7 +50,9 @@ def _runs(docs: DataFrame, carry: bool) -> DataFrame:
     ordered = run.orderBy(F.col("doc_id").asc_nulls_last())
     runs = ranges.withColumn("rn", F.row_number().over(ordered)).withColumn("first_id", F.first("doc_id").over(ordered)).withColumn("n", F.count("*").over(run)).drop("norm", "head")
     if hot:
-        known = rows.where("hot").groupBy(F.col("sha").alias("hot_sha")).agg(F.min("doc_id").alias("hot_id"), F.count("*").alias("hot_n"))
+        # the least and the greatest text of a digest are compared in full; if they are equal, all are
+        one = F.when(F.min("norm") == F.max("norm"), F.count("*")).otherwise(F.raise_error(F.lit("two texts have one SHA-256")).cast("long"))
+        known = rows.where("hot").groupBy(F.col("sha").alias("hot_sha")).agg(F.min("doc_id").alias("hot_id"), one.alias("hot_n"))
         runs = (
             runs.join(F.broadcast(known), F.col("sha") == F.col("hot_sha"), "left")  # at most 4 x partitions rows
             .withColumn("first_id", F.when(F.col("hot"), F.col("hot_id")).otherwise(F.col("first_id")))
@@ -78,5 +80,11 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that ``groups`` keeps, with all their columns, whatever these are called."""
+    """The rows of ``docs`` that ``groups`` keeps, with all their columns, whatever these are called.
+
+    Null texts are one group with empty and blank ones only as far as these are equal after
+    normalisation; of rows that repeat a text, the one of the smallest doc_id stays, null
+    doc_ids last; rows that repeat a doc_id with other texts all stay; an empty table gives
+    an empty result.
+    """
     return _runs(docs, carry=True).where("g.kept").select("row.*")
