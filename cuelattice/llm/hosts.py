@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cuelattice.llm.common import materialise
 
-#: Suffixes of more than one label.
+#: Suffixes of more than one label that count as such unless the caller names others (``suffixes``).
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "or.jp", "com.br", "com.cn", "com.mx", "co.in", "co.za", "co.kr", "com.tr", "com.ar")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PLACE = r"(?s)\A.*?://([^/?#]*)([^?#]*)"
@@ -59,6 +59,16 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, PLACE, 2), F.lit(""))
 
 
+def site_of(host: Column) -> Column:
+    """The host that reputation is about: without user, port and trailing dots."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"\A.*@", ""), r":[0-9]*\z", "")
+    return F.regexp_replace(bare, r"\.+\z", "")
+
+
+#: Hosts that have no domain: addresses.
+ADDRESS = r"\A([0-9]{1,3}\.){3}[0-9]{1,3}\z|:"
+
+
 def rule_for(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     """The longest rule that fits, as a struct; null if none does. The rules are a short list by contract."""
     found = F.lit(None).cast("struct<text:string,verdict:string>")
@@ -84,14 +94,19 @@ def strength(groups: DataFrame, least: float = 0.5, most: float = 1000.0) -> flo
     return most if rho <= 0 else min(most, max(least, (1 - rho) / rho))
 
 
-def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
-    """host, n, bad, mean, lower from rows (host, bad): bad is 1, 0 or null (no label)."""
+def reputation(outcomes: DataFrame, z: float = 1.645, suffixes_: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
+    """host, n, bad, mean, lower from rows (host, bad): bad is 1, 0 or null (no label).
+
+    The registered domain of a host is its last two labels, or three where the last two are
+    one of ``suffixes_``; an address is its own domain, below the empty suffix.
+    """
     dots = F.split("host", r"\.")
     tail = F.concat_ws(".", F.slice(dots, F.greatest(F.size(dots) - 1, F.lit(1)), 2))
-    labels = F.when(tail.isin(*LONG_SUFFIXES), 3).otherwise(2)
-    domain = F.concat_ws(".", F.slice(dots, F.greatest(F.size(dots) - labels + 1, F.lit(1)), labels))
+    labels = F.when(tail.isin(*suffixes_), 3).otherwise(2)
+    address = F.rlike(F.col("host"), F.lit(ADDRESS))
+    domain = F.when(address, F.col("host")).otherwise(F.concat_ws(".", F.slice(dots, F.greatest(F.size(dots) - labels + 1, F.lit(1)), labels)))
     hosts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
-    hosts = materialise(hosts.withColumn("domain", domain).withColumn("suffix", F.regexp_replace("domain", r"\A[^.]*\.", "")), "hosts")
+    hosts = materialise(hosts.withColumn("domain", domain).withColumn("suffix", F.when(address, "").otherwise(F.regexp_replace("domain", r"\A[^.]*\.", ""))), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
@@ -106,21 +121,23 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
     return hosts.join(domain_mean, "domain").select("host", "n", "bad", mean.alias("mean"), (mean - z * F.sqrt(mean * (1 - mean) / (a + b + 1))).alias("lower"))
 
 
-def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame | None = None, threshold: float = 0.5, z: float = 1.645) -> DataFrame:
+def judge(pages: DataFrame, rules: tuple[Rule, ...] = RULES, labels: DataFrame | None = None, threshold: float = 0.5, z: float = 1.645, suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict of every row.
 
     ``labels`` (page_id, bad) gives outcomes; without it, the pages that a rule
     decides are the labelled ones (blocked: bad). A null url or one without ``://``
     has an empty host and path; such pages are a host of their own. Repeated rows
     are judged and counted each; an empty table gives an empty result; only page_id
-    and url are read.
+    and url are read. Hosts that differ in user, port or trailing dots share a reputation;
+    ``suffixes`` names the suffixes of two labels under which domains are registered (a whole
+    public list may be given).
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rows = rows.withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
+    rows = rows.withColumn("site", site_of(F.col("host"))).withColumn("found", rule_for(F.col("host"), F.col("path"), rules))
     if labels is None:
-        outcomes = rows.select("host", F.when(F.col("found").isNotNull(), (F.col("found.verdict") == "block").cast("int")).alias("bad"))
+        outcomes = rows.select(F.col("site").alias("host"), F.when(F.col("found").isNotNull(), (F.col("found.verdict") == "block").cast("int")).alias("bad"))
     else:
-        outcomes = rows.join(labels.select(F.col("page_id").alias("label_id"), "bad"), F.col("page_id") == F.col("label_id"), "left").select("host", "bad")
-    known = reputation(outcomes, z).select("host", "lower")
+        outcomes = rows.join(labels.select(F.col("page_id").alias("label_id"), "bad"), F.col("page_id") == F.col("label_id"), "left").select(F.col("site").alias("host"), "bad")
+    known = reputation(outcomes, z, suffixes).select(F.col("host").alias("known_site"), "lower")
     method = F.when(F.col("lower") >= threshold, "block").otherwise("allow")
-    return rows.join(known, "host", "left").select("page_id", "host", "path", F.col("found.text").alias("rule"), F.coalesce(F.col("found.verdict"), method).alias("verdict"))
+    return rows.join(known, F.col("site") == F.col("known_site"), "left").select("page_id", "host", "path", F.col("found.text").alias("rule"), F.coalesce(F.col("found.verdict"), method).alias("verdict"))

@@ -77,11 +77,11 @@ def hosts_sql() -> str:
     return rf"""
         WITH u AS (SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)([^?#]*)', 1), ''), '{hosts.UPPER}', '{hosts.LOWER}') AS host,
                           coalesce(regexp_extract(url, '(?s)\A.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
-        r AS (SELECT *, CASE {rule} END AS rule FROM u),
+        r AS (SELECT *, CASE {rule} END AS rule, regexp_replace(regexp_replace(regexp_replace(host, '\A.*@', ''), ':[0-9]*\z', ''), '\.+\z', '') AS site FROM u),
         v AS (SELECT *, CASE {verdict} END AS by_rule FROM r),
-        h0 AS (SELECT host, count(by_rule) AS n, count(*) FILTER (by_rule = 'block') AS bad, string_split(host, '.') AS d FROM v GROUP BY host),
-        h1 AS (SELECT host, n, bad, array_to_string(CASE WHEN array_to_string(d[-2:], '.') IN ({long_suffixes}) THEN d[-3:] ELSE d[-2:] END, '.') AS domain FROM h0),
-        h AS (SELECT *, regexp_replace(domain, '\A[^.]*\.', '') AS suffix FROM h1),
+        h0 AS (SELECT site AS host, count(by_rule) AS n, count(*) FILTER (by_rule = 'block') AS bad, string_split(site, '.') AS d, regexp_matches(site, '{hosts.ADDRESS}') AS address FROM v GROUP BY site),
+        h1 AS (SELECT host, n, bad, address, CASE WHEN address THEN host ELSE array_to_string(CASE WHEN array_to_string(d[-2:], '.') IN ({long_suffixes}) THEN d[-3:] ELSE d[-2:] END, '.') END AS domain FROM h0),
+        h AS (SELECT *, CASE WHEN address THEN '' ELSE regexp_replace(domain, '\A[^.]*\.', '') END AS suffix FROM h1),
         d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
         s AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
         ms AS ({moments.format("s")}), md AS ({moments.format("d")}), mh AS ({moments.format("h")}),
@@ -90,8 +90,8 @@ def hosts_sql() -> str:
         d2 AS (SELECT domain, (bad + md.m * s2.p) / (n + md.m) AS p FROM d JOIN s2 USING (suffix), md),
         h2 AS (SELECT host, bad + mh.m * d2.p AS a, n - bad + mh.m * (1 - d2.p) AS b FROM h JOIN d2 USING (domain), mh),
         h3 AS (SELECT host, a / (a + b) - 1.645 * sqrt((a / (a + b)) * (1 - a / (a + b)) / (a + b + 1)) AS lower FROM h2)
-        SELECT page_id, host, path, rule, coalesce(by_rule, CASE WHEN lower >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
-        FROM v JOIN h3 USING (host)"""
+        SELECT page_id, v.host, path, rule, coalesce(by_rule, CASE WHEN lower >= 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+        FROM v JOIN h3 ON v.site = h3.host"""
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
