@@ -20,6 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cuelattice.llm.common import arrow_batches, partitions, whole_text
+from cuelattice.llm.sharding import order_number
 
 #: Code points of a shingle (a power of two) and the retained share of hashes, one in SCALE.
 SHINGLE, SCALE = 16, 16
@@ -91,7 +92,8 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     n = 4 * partitions(spark)
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("key"), "doc_id", whole_text().alias("text"))
+    kind = dict(docs.dtypes)["doc_id"]
+    rows = docs.select(F.coalesce(order_number("doc_id", kind).cast("long"), F.lit((1 << 63) - 1)).alias("key"), "doc_id", whole_text().alias("text"))
     edges = rows.agg(F.percentile_approx("key", F.array(*[F.lit(i / n) for i in range(1, n)]), 20 * n)).first()[0]
     edges = sorted(set(edges or []))
     steps = ", ".join(str(1 << b) for b in range(max(1, len(edges)).bit_length() - 1, -1, -1))
@@ -105,7 +107,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     )
     placed = rows.join(F.broadcast(before), F.col("key") == F.col("first_key"), "left").withColumn("place", F.explode(places))
     placed = placed.select("place.bucket", "place.copy", "key", "doc_id", "text")
-    return placed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "copy", "key", "text")
+    return placed.repartition(partitions(spark), "bucket").sortWithinPartitions("bucket", "copy", "key", F.col("doc_id").asc_nulls_last(), "text")
 
 
 def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -114,7 +116,7 @@ def fingerprints(docs: DataFrame, scale: int = SCALE) -> DataFrame:
     Columns: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next (Jaccard estimates), inside_edited, inside_next (containment
     of the document's sketch in the other's). The follower is the next row by doc_id, then text;
-    null doc_ids come last; after the last comes the first, so a single document
+    null doc_ids come last; string doc_ids follow one another by their bytes; after the last comes the first, so a single document
     follows itself. A null text counts as empty: no shingles, equal only to its like.
     """
 
