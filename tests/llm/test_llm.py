@@ -189,13 +189,23 @@ def test_near_copies_go(docs, none):
         near = [k for k, s in all_rows if k is not None and k < d and (a := shingles(t)) and (b := shingles(s)) and len(a & b) >= 0.79 * len(a | b)]
         assert near, d
     assert simhash.drop_near(none).count() == 0
+    strings = docs.select(F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 4, "0")).alias("doc_id"), "text")
+    assert simhash.drop_near(strings).count() == sum(kept.values())
+
+
+def test_near_copies_that_share_a_doc_id(spark):
+    rng = random.Random(11)
+    a, b = words(rng, 100), words(rng, 100)
+    texts = [(1, " ".join(a)), (2, " ".join([*a, "more"])), (2, " ".join(b)), (2, " ".join(b)), (2, None), (None, " ".join(a))]
+    kept = collections.Counter(tuple(r) for r in simhash.drop_near(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    assert kept == collections.Counter([texts[0], texts[2], texts[3], texts[4], texts[5]])
 
 
 def test_passages(docs, none):
     found = collections.defaultdict(set)
     for r in passages.passages(docs).collect():
-        assert r.holder < r.doc_id and r.passage_end - r.passage_start >= 50 and r.similarity >= 0.8
-        found[r.doc_id].update(range(r.passage_start, r.passage_end))
+        assert r.holder <= r.doc_id and r.end - r.start >= 50 and r.passage_end - r.passage_start >= 50 and r.similarity >= 0.8
+        found[r.doc_id].update(range(r.start, r.end))
     first, want = {}, collections.defaultdict(set)
     for d, t in sorted((x for x in set(rows()) if x[0] is not None), key=lambda x: x[0]):
         w = text_of(t).encode().lower().split()
@@ -205,6 +215,8 @@ def test_passages(docs, none):
     assert set(want) <= set(found)
     assert all(len(want[d] & found[d]) >= 0.95 * len(want[d]) for d in want)
     assert set(found) <= set(want) | set(range(200, 212))
+    with pytest.raises(ValueError):
+        passages.passages(docs, least=20)
     out = passages.cut_passages(docs)
     assert out.columns == docs.columns
     texts = {r.doc_id: (r.text, r.n_chars) for r in out.collect() if r.doc_id is not None}
@@ -221,14 +233,51 @@ def test_chain_and_alignment():
     b = np.array([100, 110, 121, 131, 5, 300])
     (best,) = passages.chain(a, b)
     assert a[best].tolist() == [0, 10, 20, 30]
+    two = passages.chain(np.array([0, 10, 20, 0, 10, 20]), np.array([0, 10, 20, 500, 510, 521]))
+    assert sorted(len(c) for c in two) == [3, 3]
     x = np.arange(60, dtype=np.uint32)
     y = np.r_[x[:20], 999, x[21:40], 1000, x[40:]].astype(np.uint32)
-    sx, ex, sy, ey, share = passages.align([2, 25, 50], [2, 25, 51], x, y, 0, 0)
+    ((sx, ex, sy, ey, share),) = passages.align(np.array([2, 25, 50]), np.array([2, 25, 51]), x, y)
     assert (sx, ex, sy, ey) == (0, 60, 0, 61) and share == pytest.approx(59 / 61)
     assert passages.edit_matches([1, 2, 3], [1, 9, 3]) == 2 and passages.edit_matches([], [1]) == 0
     assert passages.without("a b  c\nd", [(1, 3)]) == "a d" and passages.without("a b", [(0, 2)]) == ""
 
 
+def test_chains_are_the_best_ones():
+    """Scores of the first chain against a quadratic search over all chains."""
+    rng = random.Random(31)
+    for _ in range(200):
+        n = rng.randint(2, 25)
+        a, b = np.array([rng.randint(0, 90) for _ in range(n)]), np.array([rng.randint(0, 90) for _ in range(n)])
+        order = np.lexsort((-b, a))
+        x, y = a[order].tolist(), b[order].tolist()
+        f = []
+        for i in range(n):
+            before = [f[j] - passages.GAP_COST * (x[i] - x[j] + y[i] - y[j]) for j in range(i) if x[j] < x[i] and y[j] < y[i]]
+            f.append(passages.SEED_WORDS + max([0.0, *before]))
+        paths = passages._fenwick(a[order], b[order])
+        if max(f) == passages.SEED_WORDS:
+            assert not paths
+            continue
+        score = 0.0
+        for k, (i, j) in enumerate(zip([None, *paths[0][:-1]], paths[0])):
+            score += passages.SEED_WORDS - (passages.GAP_COST * (x[j] - x[i] + y[j] - y[i]) if k else 0)
+            assert not k or (x[i] < x[j] and y[i] < y[j])
+        assert score == pytest.approx(max(f))
+        assert len(np.unique(np.concatenate(paths))) == sum(map(len, paths))
+
+
+def test_stretches_keep_what_agrees():
+    rng = random.Random(32)
+    for _ in range(300):
+        hit = np.array([rng.random() < rng.choice([0.5, 0.8, 0.95]) for _ in range(150)])
+        at = rng.randint(0, 100)
+        hit[at : at + 50] = True
+        found = passages.stretches(hit, 50, 0.8)
+        assert all(hit[i:j].mean() >= 0.8 for i, j in found)
+        assert any(i <= at and at + 50 <= j for i, j in found)
+
+
 AWKWARD = ["a", " ", "  ", "\n", "é", "日", "▁", "\x00", "😀", "<s>", "<|endoftext|>", "\t", "ing", "'s", "1", "²", "\x1c", "\xa0", "!"]
 
 
@@ -280,28 +329,69 @@ def test_packing(docs, none):
     assert packing.pack(none, JSON).count() == 0
 
 
-def test_configuration_program():
-    rng = random.Random(5)
-    h = dict(collections.Counter(min(200, int(rng.expovariate(1 / 60)) + 1) for _ in range(4000)))
-    plan = packing.solve(h, 200, rounds=400)
+def checked(h, capacity):
+    """Sequences and lower bound of a plan that takes every piece exactly once."""
+    plan, bound = packing.solve(h, capacity)
     used = collections.Counter()
     for config, times in plan:
-        assert sum(l * a for l, a in config.items()) <= 200 and times > 0
+        assert sum(l * a for l, a in config.items()) <= capacity and times > 0
         for l, a in config.items():
             used[l] += a * times
-    assert used == h and sum(t for _, t in plan) <= -(-sum(l * n for l, n in h.items()) // 200) * 1.01 + 1
-    assert packing.solve({}, 200) == []
-    price = np.array([-1, 1.0, 2.5, 3.0, -1.0, -1.0])
-    assert packing.knapsack(price, 5) == {1: 1, 2: 2}
+    assert used == h
+    return sum(t for _, t in plan), bound
+
+
+def configurations(lengths, capacity):
+    """All that fit, by enumeration."""
+    if not lengths:
+        return [{}]
+    l, rest = lengths[0], lengths[1:]
+    return [{l: a, **c} for a in range(capacity // l + 1) for c in configurations(rest, capacity - a * l)]
+
+
+def test_configuration_program():
+    rng = random.Random(5)
+    dense = collections.Counter(min(200, int(rng.expovariate(1 / 60)) + 1) for _ in range(4000))
+    used, bound = checked(dense, 200)
+    assert bound <= used <= -(-sum(l * n for l, n in dense.items()) // 200) * 1.01 + 1
+    assert packing.solve({}, 200) == ([], 0.0) and checked({100: 1}, 2048)[0] == 1 and checked({2048: 5, 1: 3}, 2048)[0] == 6
+    # the program's values of these two are 879 and 540
+    assert checked({682: 210, 276: 674, 777: 168, 1060: 879}, 2048)[0] <= 879 + 4
+    assert checked({871: 155, 1061: 540, 567: 142, 386: 70}, 2048)[0] <= 540 + 4
+    for _ in range(15):
+        h = {rng.randint(150, 1500): rng.randint(20, 900) for _ in range(rng.randint(2, 6))}
+        used, bound = checked(h, 2048)
+        assert bound - 1e-6 <= used <= bound * 1.0001 + len(h)
+        # the bound is one: fractions of all configurations there are give no better, by a vertex that no configuration improves
+        found, _ = packing.weights(h, 2048)
+        best, dual = packing.vertex(found, h, 2048)
+        assert dual <= sum(best.values()) + 1e-6 and len(best) <= len(h)
+        for l, n in h.items():
+            assert sum(dict(k).get(l, 0) * x for k, x in best.items()) == pytest.approx(n)
+
+
+@pytest.mark.parametrize("way", [10_000, 0])
+def test_knapsack_finds_the_dearest_configuration(way, monkeypatch):
+    monkeypatch.setattr(packing, "FEW", way)
+    rng = random.Random(6)
+    for _ in range(40):
+        price = {rng.randint(3, 30): rng.random() for _ in range(rng.randint(1, 5))}
+        config, value = packing.knapsack(price, 50)
+        want = max(sum(price[l] * a for l, a in c.items()) for c in configurations(list(price), 50))
+        assert value == pytest.approx(want) == pytest.approx(sum(price[l] * a for l, a in config.items()))
+        assert sum(l * a for l, a in config.items()) <= 50
 
 
 def test_merge_dropout(docs, none):
     plain, dropped, other = pieces.Segmenter(MODEL, 0.0), pieces.Segmenter(MODEL, 0.1, 7), pieces.Segmenter(MODEL, 0.1, 8)
-    for i, t in enumerate(awkward(800)):
-        assert dropped.decode(dropped.encode(t, str(i))) == t and plain.decode(plain.encode(t)) == t
+    some = awkward(800)
+    for i, t in enumerate(some):
+        assert dropped.decode(dropped.encode(t, str(i))) == t.encode() and plain.decode(plain.encode(t)) == t.encode()
         if "▁" not in t:
             ids = plain.library.encode(t)
             assert plain.encode(t) == struct.pack(f"<{len(ids)}I", *ids), repr(t)
+    together = dropped.encode_all(some, [str(i) for i in range(len(some))])
+    assert [x.tobytes() for x in together] == [dropped.encode(t, str(i)) for i, t in enumerate(some)]
     long = " ".join(words(random.Random(2), 300))
     assert len({plain.encode(long), dropped.encode(long, "1"), dropped.encode(long, "2"), other.encode(long, "1")}) == 4
     assert dropped.encode(long, "1") == pieces.Segmenter(MODEL, 0.1, 7).encode(long, "1")
@@ -313,6 +403,50 @@ def test_merge_dropout(docs, none):
     assert pieces.round_trip(none, MODEL).count() == 0
 
 
+def agenda_by_hand(tool, text, skipped):
+    """Pieces of one part: search all pairs for the best candidate that was not skipped, join it, and so on."""
+    symbols, gone = [(i, c) for i, c in enumerate(text)], set()
+    while True:
+        found = [(tool.ranks[a + b], i, (i, a, b)) for (i, a), (_, b) in zip(symbols, symbols[1:]) if a + b in tool.ranks and (i, a, b) not in gone]
+        if not found:
+            return [s for _, s in symbols]
+        rank, i, pair = min(found)
+        if skipped(rank, i):
+            gone.add(pair)
+            continue
+        k = next(k for k, (at, _) in enumerate(symbols) if at == i)
+        symbols[k : k + 2] = [(i, symbols[k][1] + symbols[k + 1][1])]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.5])
+def test_agendas_side_by_side_by_heap_and_by_hand(dropout):
+    rng = random.Random(41)
+    tool = pieces.Segmenter(MODEL, dropout, 7)
+    parts = ["".join(rng.choice([*SYLLABLES, "▁", "é", "q", "日", "internation", "al"]) for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    keys = np.array([rng.getrandbits(64) for _ in parts], np.uint64)
+    chars = pieces.characters("".join(parts))
+    size = np.array([len(p) for p in parts])
+    begin, symbols = np.cumsum(size) - size, tool.first[chars]
+    some = np.flatnonzero(size > 1)
+    tool.short(symbols, begin[some], size[some], keys[some])
+    for p, b, key in zip(parts, begin.tolist(), keys.tolist()):
+        skipped = lambda rank, i: bool(tool.skipped(np.array([key], np.uint64), np.array([rank]), np.array([i]))[0])  # noqa: B023, E731
+        want = agenda_by_hand(tool, p, skipped)
+        assert tool.long(p, key) == want
+        at = b
+        for x in want:
+            assert symbols[at] == (tool.ranks[x] if x in tool.ranks else tool.first[ord(x)]) and (symbols[at + 1 : at + len(x)] == -1).all()
+            at += len(x)
+
+
+def test_texts_longer_than_a_chunk(monkeypatch):
+    tool = pieces.Segmenter(MODEL, 0.1, 7)
+    text = " ".join(words(random.Random(42), 500)) + "   ▁ x" + "y" * 90
+    whole = tool.encode(text, "5")
+    monkeypatch.setattr(pieces, "CHUNK", 64)
+    assert tool.encode(text, "5") == whole and tool.encode_all(["a", text, ""], ["1", "5", "2"])[1].tobytes() == whole
+
+
 def test_sketches(docs, none):
     order = sorted(rows(), key=lambda x: ((1 << 63) - 1 if x[0] is None else x[0], text_of(x[1]).encode()))
     out = sketch.fingerprints(docs).collect()
@@ -331,6 +465,56 @@ def test_sketches(docs, none):
     assert sketch.fingerprints(docs.where("doc_id = 404")).first().near_next == 1.0
 
 
+def sketch_by_hand(text, scale=16):
+    """The retained hashes with plain integers: a polynomial of sixteen code points, stirred, of which the lowest share stays."""
+    m, out = (1 << 64) - 1, set()
+    if not text:
+        return out
+    powers = [pow(0x9E3779B97F4A7C15, 15 - i, 1 << 64) for i in range(16)]
+    hashes = [sum(ord(c) * p for c, p in zip(text[i : i + 16], powers)) & m for i in range(len(text) - 15)] if len(text) >= 16 else [xxhash.xxh64_intdigest(text.encode())]
+    for h in hashes:
+        h ^= h >> 31
+        h = h * 0xBF58476D1CE4E5B9 & m
+        h ^= h >> 29
+        h = h * 0x94D049BB133111EB & m
+        h ^= h >> 32
+        if h < (1 << 64) // scale:
+            out.add(h >> 32)
+    return out
+
+
+def test_fingerprints_by_hand(spark, docs):
+    order = sorted((x for x in rows() if x[0] is not None), key=lambda x: (x[0], text_of(x[1]).encode()))
+    out = {}
+    for r in sketch.fingerprints(docs.where("doc_id IS NOT NULL")).collect():
+        out.setdefault((r.doc_id, r.n_chars), r)
+    share = lambda a, b, same: len(a & b) / len(a | b) if a | b else float(same)
+    for (d, t), (_, n) in zip(order, [*order[1:], order[0]]):
+        t, n = text_of(t), text_of(n)
+        if d in (5, 403, 404):
+            continue  # repeated, and two very long ones
+        cut = len(t) // 4
+        e = t[: len(t) - cut] + n[:cut]
+        a, b, c, r = sketch_by_hand(t), sketch_by_hand(e), sketch_by_hand(n) if d != 402 else None, out[d, len(t)]
+        assert r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        assert r.fingerprint == f"{xxhash.xxh64_hexdigest(t.encode())}:" + "".join(f"{x:08x}" for x in sorted(a))
+        assert r.near_edited == pytest.approx(share(a, b, t == e))
+        if c is not None and len(n) < 50_000:
+            assert r.near_next == pytest.approx(share(a, c, t == n))
+    named = spark.createDataFrame([("b", "x" * 40), ("a", "y" * 40), (None, "z" * 40), ("a", None)], "doc_id string, text string")
+    got = [(r.doc_id, r.edited_sha256) for r in sketch.fingerprints(named).collect()]
+    want = {("a", ""), ("a", "y" * 30 + "x" * 10), ("b", "x" * 30 + "z" * 10), (None, "z" * 30)}
+    assert set(got) == {(d, hashlib.sha256(t.encode()).hexdigest()) for d, t in want}
+
+
+def test_written_shards(spark, docs, tmp_path):
+    once = docs.where("doc_id <> 5 OR doc_id IS NULL").dropDuplicates(["doc_id"]).withColumn("shard", F.lit("clash")).withColumn("slot", F.lit(1))
+    sharding.write_shards(once, str(tmp_path / "shards"), 16)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert back.count() == once.count() and back.select("shard").distinct().count() == 16 and set(back.select("row.*").columns) == set(once.columns)
+    assert sharding.shared_bytes("https://a", "https://b") == 8 and sharding.shared_bytes(None, None) == 0
+
+
 def test_sketch_estimates():
     rng = random.Random(3)
     a = " ".join(words(rng, 4000))
@@ -353,6 +537,13 @@ def test_rules_and_reputation(spark):
     assert (out[6].host, out[6].path, out[6].rule) == ("example.com", "", None)
 
 
+def test_reputation_is_of_sites(spark):
+    of = lambda h: spark.createDataFrame([(h,)], "host string").select(hosts.site_of(F.col("host"))).first()[0]
+    assert [of(h) for h in ("a.b.co.uk:8080", "me:pw@x.org.", "10.0.0.1:80", "", "x.org")] == ["a.b.co.uk", "x.org", "10.0.0.1", "", "x.org"]
+    known = {r.host: r for r in hosts.reputation(spark.createDataFrame([("10.0.0.1", 1), ("11.0.0.1", 0), ("a.b.co.uk", 1)], "host string, bad int")).collect()}
+    assert set(known) == {"10.0.0.1", "11.0.0.1", "a.b.co.uk"} and known["10.0.0.1"].mean > known["11.0.0.1"].mean
+
+
 def test_bad_hosts_are_learned(spark):
     pages = [(i, f"http://{h}.site.org/{i}") for i, h in enumerate(["bad"] * 40 + ["good"] * 40 + ["new"] * 2)]
     labels = [(i, int(i < 40)) for i in range(80)]
@@ -390,12 +581,60 @@ def test_attention_gradients():
     x, n = rng.normal(size=(40, quality.WIDTH)).astype(np.float32), np.array([3, 1, 6, 10, 20])
     y = np.array([1.0, 0, 1, 0, 1])
     model = quality.learn(x, n, y, epochs=60)
-    p, _ = model.forward(np.clip((x - model.mean) / model.scale, -8, 8), n)
+    p, _ = model.forward(model.standardised(x), n)
     assert ((p > 0) == (y > 0.5)).all()
+    # each derivative against the difference of the loss at two near points
+    model = quality.Model(np.zeros(quality.WIDTH), np.ones(quality.WIDTH), {k: rng.normal(size=v.shape) * 0.3 for k, v in model.weights.items()})
+    x = x.astype(np.float64)
+
+    def loss():
+        z, _ = model.forward(x, n)
+        return float(np.mean(np.log1p(np.exp(-z)) * y + np.log1p(np.exp(z)) * (1 - y)))
+
+    for name, g in quality.gradients(model, x, n, y).items():
+        w = model.weights[name]
+        for at in [tuple(rng.integers(0, d) for d in w.shape) for _ in range(6)]:
+            was = w[at]
+            w[at] = was + 1e-5
+            up = loss()
+            w[at] = was - 1e-5
+            assert g[at] == pytest.approx((up - loss()) / 2e-5, abs=1e-6), (name, at)
+            w[at] = was
     texts = ["one passage", "x" * (quality.PASSAGE * 2 + 1), ""]
     assert quality.features(texts)[1].tolist() == [1, 3, 1]
 
 
+def test_scores_use_what_was_learned():
+    """A passage far outside what was seen is scored on clipped features, as in learning."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, quality.WIDTH)).astype(np.float32) * 1e-4
+    model = quality.learn(x, np.ones(300, int), (x[:, 3] > 0).astype(float), epochs=5)
+    text = "9 | #### !!!! " * 20
+    f, n = quality.features([text])
+    assert np.abs((f - model.mean) / model.scale).max() > quality.CLIP
+    z, _ = model.forward(np.clip((f - model.mean) / model.scale, -8, 8).astype(np.float32), n)
+    assert model.score([text])[0] == pytest.approx(1 / (1 + np.exp(-z[0])))
+
+
+def test_long_texts_in_stretches(monkeypatch):
+    text = " ".join(words(random.Random(7), 2000))
+    whole, n = quality.features([text, "a b"])
+    monkeypatch.setattr(quality, "CHUNK", 1024)
+    parts, m = quality.features([text, "a b"])
+    assert n.tolist() == m.tolist() and whole.shape == parts.shape
+    # words that a stretch cuts differ, the others do not
+    assert np.abs(whole - parts)[:, : quality._CLASSES].max() == 0 and np.abs(whole - parts).max() < 0.05
+
+
+def test_the_sample_is_bounded_in_passages(spark):
+    rng = random.Random(8)
+    rows = [(i, ("# " if i % 2 else "") + " ".join(words(rng, 40))) for i in range(120)] + [(i, "x y " * 4000) for i in range(120, 150)] + [(3, "another text of this id")]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1 - i % 2) for i in range(150)], "doc_id long, quality int")
+    a, b = quality.fit(docs, labels, passages=60), quality.fit(docs, labels, passages=60)
+    assert all((a.weights[k] == b.weights[k]).all() for k in a.weights)
+    assert quality.fit(docs, labels, passages=0) is None
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
@@ -412,6 +651,36 @@ def test_pipeline(spark, docs, tmp_path):
         assert frame.count() <= before
         before = frame.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= before
+    empty = tmp_path / "empty"
+    spark.read.parquet(str(tmp_path / "documents.parquet")).limit(0).write.parquet(str(empty / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(str(empty / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(empty)).count() == 0
+
+
+def test_pipeline_takes_out_what_was_planted(spark, tmp_path):
+    """Clean texts stay as they are; junk, exact and near copies and shared passages go, whichever stage they meet."""
+    import corpus_pipeline
+
+    rng = random.Random(51)
+    clean = [words(rng, rng.randint(120, 300)) for _ in range(150)]
+    data, labels = [(i, " ".join(w).capitalize() + ".") for i, w in enumerate(clean)], [(i, 1) for i in range(150)]
+    data += [(1000 + i, " | ".join(words(rng, 80)) + " ###") for i in range(60)]
+    labels += [(1000 + i, 0) for i in range(60)]
+    data += [(2000 + i, data[i][1].replace(" ", "  ", 3)) for i in range(20)]
+    data += [(3000 + i, " ".join([*data[i][1].split()[:-4], *words(rng, 4)])) for i in range(20, 40)]
+    passage = words(rng, 70)
+    data += [(4000 + i, " ".join(words(rng, 90) + passage + words(rng, 90)).capitalize() + ".") for i in range(6)]
+    spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in data], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    frame, seen = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        frame = stage(spark, frame, str(tmp_path)).persist()
+        seen.append({r.doc_id: r.text for r in frame.collect()})
+    given = dict(data)
+    assert not [d for d in seen[0] if 1000 <= d < 2000] and all(d in seen[0] for d in given if not 1000 <= d < 2000)
+    assert not [d for d in seen[1] if 2000 <= d < 3000] and not [d for d in seen[2] if 3000 <= d < 4000]
+    assert all(seen[3].get(i) == given[i] for i in range(150)) and seen[3][4000] == given[4000]
+    assert all(len(seen[3][4000 + i].split()) == 180 for i in range(1, 6))
 
 
 def edited(rng, base, kind, share):
@@ -429,14 +698,14 @@ def test_near_pairs_by_similarity_and_kind_of_edit(spark):
     rng = random.Random(21)
     texts = []
     for kind in ("appended", "replaced", "scattered"):
-        for _ in range(80):
+        for _ in range(400):
             base = words(rng, rng.randint(30, 250))
             texts += [" ".join(base), " ".join(edited(rng, base, kind, rng.uniform(0.02, 0.26)))]
     sets = [shingles(t) for t in texts]
     known = lambda i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1])
     want = {(i + 1, i): known(i) for i in range(0, len(texts), 2) if known(i) >= 0.8}
-    assert sum(x < 0.85 for x in want.values()) >= 20
-    got = {(r.u, r.v) for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert sum(x < 0.85 for x in want.values()) >= 100 and len(want) >= 700
+    got = {(r.u.doc_id, r.v.doc_id) for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == set(want)
 
 
@@ -457,8 +726,9 @@ def test_near_pairs_whose_shingles_others_hold_too(spark):
             if len(a & b) >= 0.8 * len(a | b):
                 want.join(i, j)
     for r in simhash.similar_links(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
-        assert len(sets[r.u] & sets[r.v]) >= 0.8 * len(sets[r.u] | sets[r.v])
-        got.join(r.u, r.v)
+        u, v = r.u.doc_id, r.v.doc_id
+        assert len(sets[u] & sets[v]) >= 0.8 * len(sets[u] | sets[v])
+        got.join(u, v)
     assert [want.find(i) for i in range(len(texts))] == [got.find(i) for i in range(len(texts))]
     assert all(want.find(i + 3) == i + 2 for i in range(0, 48, 4))
 
@@ -466,10 +736,29 @@ def test_near_pairs_whose_shingles_others_hold_too(spark):
 def found_words(spark, texts):
     found = collections.defaultdict(set)
     for r in passages.passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect():
-        found[r.doc_id].update(range(r.passage_start, r.passage_end))
+        found[r.doc_id].update(range(r.start, r.end))
     return found
 
 
+def test_rows_that_share_a_doc_id_but_not_a_text(spark):
+    rng = random.Random(26)
+    p, other, first = words(rng, 80), words(rng, 300), words(rng, 40)
+    texts = [(1, " ".join(first + p)), (2, " ".join(words(rng, 20) + p + words(rng, 20))), (2, " ".join(other)), (2, " ".join(other)), (3, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    out = [r.text for r in passages.cut_passages(docs).collect()]
+    assert len(out) == 5 and out.count(" ".join(other)) == 2 and out.count(None) == 1 and texts[0][1] in out
+    assert [len(t.split()) for t in out if t and t not in (texts[0][1], texts[2][1])] == [40]
+
+
+def test_texts_that_repeat_themselves(spark):
+    rng = random.Random(27)
+    again = "la lo " * 400
+    texts = [f"{' '.join(words(rng, 60))} {again} {' '.join(words(rng, 60))}" for _ in range(3)] + ["ha " * 300, "ha " * 200]
+    found = found_words(spark, texts)
+    assert all(len(found[d] & set(range(60, 860))) >= 760 and found[d] <= set(range(57, 863)) for d in (1, 2)) and found[4] == set(range(200))
+    assert not found[0] and not found[3]
+
+
 def test_passages_that_a_document_repeats(spark):
     rng = random.Random(23)
     p = words(rng, 60)
@@ -497,23 +786,25 @@ def test_passages_of_lines_with_other_first_holders(spark, lines, size):
 
 
 def test_every_occurrence_draws_its_own_skips():
+    """Thousands of documents meet the variety of segmentations that independent skips have."""
     tool = pieces.Segmenter(MODEL, 0.1, 7)
-    text = "internationalisation"
-    seen = collections.Counter(tool.encode(text, str(i)) for i in range(3000))
-    assert len(seen) > 20 and all(tool.decode(x) == text for x in seen)
-    # by other candidates a text may come to the same pieces, so draws are counted at the first nodes
+    text, n = "internationalisation", 4000
+    seen = collections.Counter(x.tobytes() for x in tool.encode_all([text] * n, [str(i) for i in range(n)]))
+    assert all(tool.decode(x) == text.encode() for x in seen)
+    rng = random.Random(43)
     part = tool.library.normalize(text)
-    n, root = len(tool.node(part, ()).agenda), tool.known[part]
-    root.after.clear()
-    tool.drawn([part] * 3000, 5)
-    whole = sum(x is root.ids for x in tool.drawn([part] * 3000, 5))
-    assert set(root.after) == set(range(n)) and whole / 3000 == pytest.approx(0.9**n, abs=0.03)
+    chance = collections.Counter(tuple(agenda_by_hand(tool, part, lambda r, i: rng.random() < 0.1)) for _ in range(n))
+    assert 0.85 * len(chance) < len(seen) < 1.15 * len(chance) and len(seen) > 20
+    for (_, a), (_, b) in zip(seen.most_common(8), chance.most_common(8)):
+        assert a / n == pytest.approx(b / n, abs=0.04)
+    repeated = tool.encode(" ".join([text] * 500), "1")
+    assert tool.decode(repeated) == " ".join([text] * 500).encode()
 
 
 def test_recall_of_fuzzy_passages_by_edit_rate(spark):
     """Passages of 80 words, some of them replaced, 100 for each rate; the README gives these shares."""
     rng = random.Random(25)
-    rates, each = (0.0, 0.05, 0.1, 0.15), 100
+    rates, each = (0.0, 0.05, 0.1, 0.15, 0.2), 100
     early, late = [], []
     for rate in rates:
         for _ in range(each):
@@ -523,4 +814,4 @@ def test_recall_of_fuzzy_passages_by_edit_rate(spark):
             late.append(words(rng, 40) + [words(rng, 1)[0] + "q" if i in at else w for i, w in enumerate(p)] + words(rng, 40))
     found = found_words(spark, [" ".join(t) for t in early + late])
     met = [sum(len(found[len(early) + k * each + i] & set(range(40, 120))) >= 50 for i in range(each)) / each for k in range(len(rates))]
-    assert met[0] == 1.0 and met[1] >= 0.9 and met[2] >= 0.65 and met[3] >= 0.35
+    assert met[0] == 1.0 and met[1] >= 0.98 and met[2] >= 0.93 and met[3] >= 0.9 and met[4] >= 0.7, met
