@@ -13,13 +13,13 @@ and rows stay in proportion to the fingerprints.
 
 Near-duplicate groups of the pipeline (five-word shingles, Jaccard 0.8) start from the same
 fingerprints and links, on five-word shingles; each link is verified on the full shingle sets.
-Close copies are joined so, but at Jaccard 0.8 two fingerprints differ in ten bits of 64 on
+Close copies are found so, but at Jaccard 0.8 two fingerprints differ in ten bits of 64 on
 average, more than balls can enumerate. The rest is therefore found by a prefix filter: in one
 order of all shingles, with frequent ones last, similar texts share a shingle among the first
-fifth of theirs. Members of a shingle are candidates if they share enough of these, and are
-verified too. First each shingle links its members to one of them, in rows in proportion to
-the documents; then all its members that are not yet joined are paired off, so that
-the groups are exact.
+fifth of theirs. With the links, each shingle first proposes its members with one of them, in
+rows in proportion to the documents; then those of its members that are not yet joined are
+paired off whose places in their texts' order allow the similarity. All candidates are
+verified, and the groups are exact.
 """
 
 from __future__ import annotations
