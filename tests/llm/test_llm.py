@@ -785,6 +785,52 @@ def test_passages_of_lines_with_other_first_holders(spark, lines, size):
         assert len(found[d] & whole) >= 0.95 * len(whole), d
 
 
+def edited_passages_of_frequent_lines(rng, times, between, lines=8, size=10, n=2):
+    """Texts with every line, and two lines in a row, of n passages ``times`` times; texts with the passages; the lines once more
+    (``between``); texts with the passages edited. And the number of the first of the last."""
+    early, late, middle, edited = [], [], [], []
+    for _ in range(n):
+        p = [words(rng, size) for _ in range(lines)]
+        parts = p + [a + b for a, b in zip(p, p[1:])]
+        early += [words(rng, 15) + part + words(rng, 15) for part in parts for _ in range(times)]
+        late.append(words(rng, 40) + sum(p, []) + words(rng, 40))
+        middle += [words(rng, 15) + part + words(rng, 15) for part in parts if between]
+        edited.append(words(rng, 40) + [w + "q" if i % 14 == 9 else w for i, w in enumerate(sum(p, []))] + words(rng, 40))
+    texts = early + late + middle + edited
+    return [" ".join(t) for t in texts], len(texts) - n
+
+
+@pytest.mark.parametrize("times, between, lines, size", [(70, False, 8, 10), (70, False, 4, 20), (70, True, 8, 10), (1, True, 4, 20)])
+def test_edited_passages_of_frequent_lines(spark, times, between, lines, size):
+    """Lines in any number of unrelated texts, before the holder and after it, hide no edited passage."""
+    texts, at = edited_passages_of_frequent_lines(random.Random(31), times, between, lines, size)
+    found = found_words(spark, texts)
+    for d in range(at, len(texts)):
+        assert len(found[d] & set(range(40, 120))) >= 76 and found[d] <= set(range(40, 120)), d
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+@pytest.mark.parametrize("keys", [1, 2, 12, 600])
+def test_holders_of_seeds_by_hand(spark, kind, keys):
+    """Keys of one text and of any number, parted between partitions at any text."""
+    rng = random.Random(32)
+    texts = [(d if kind == "long" else f"d{d:04}", tag) for d in range(600) for tag in (-5, 7)]
+    want, data = {}, []
+    for key in range(keys):
+        own = sorted(rng.sample(texts, [1200, 900, 2, 1, 70, 1][key % 6] if keys < 100 else rng.choice([1, 2])))
+        places = {text: sorted(rng.sample(range(500), rng.choice([1, 1, 3]))) for text in own}
+        for i, text in enumerate(own):
+            data += [(key, *text, p << 23 | rng.randrange(1 << 23)) for p in places[text]]
+            if len(own) > 1:
+                want[key, *text] = *own[0], places[own[0]][0], *((*own[i - 1], places[own[i - 1]][0]) if i > 1 else (None, None, None))
+    rng.shuffle(data)
+    table = spark.createDataFrame(data, f"key long, doc_id {kind}, tag long, at long")
+    got = passages.shared_seeds(table)[0].collect()
+    assert sorted(tuple(r)[:4] for r in got) == sorted(r for r in data if r[:3] in want)
+    assert all(tuple(r)[4:] == want[r.key, r.doc_id, r.tag] for r in got)
+    assert passages.shared_seeds(table.limit(0))[0].count() == 0
+
+
 def test_every_occurrence_draws_its_own_skips():
     """Thousands of documents meet the variety of segmentations that independent skips have."""
     tool = pieces.Segmenter(MODEL, 0.1, 7)
