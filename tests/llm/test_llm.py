@@ -809,6 +809,18 @@ def test_edited_passages_of_frequent_lines(spark, times, between, lines, size):
         assert len(found[d] & set(range(40, 120))) >= 76 and found[d] <= set(range(40, 120)), d
 
 
+def test_the_pipeline_cuts_edited_passages_of_frequent_lines(spark):
+    import corpus_pipeline
+
+    texts, at = edited_passages_of_frequent_lines(random.Random(31), 70, True)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.cut_passages(spark, docs, "").collect()}
+    assert len(out) == len(texts) and all(out[d] == texts[d] for d in range(at))
+    for d in range(at, len(texts)):
+        left, whole = out[d].split(), texts[d].split()
+        assert left[:40] == whole[:40] and left[-40:] == whole[-40:] and len(left) <= 84, d
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("keys", [1, 2, 12, 600])
 def test_holders_of_seeds_by_hand(spark, kind, keys):
