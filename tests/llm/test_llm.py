@@ -821,6 +821,63 @@ def test_the_pipeline_cuts_edited_passages_of_frequent_lines(spark):
         assert left[:40] == whole[:40] and left[-40:] == whole[-40:] and len(left) <= 84, d
 
 
+def passages_by_hand(texts):
+    """Words of each text in passages that any earlier text holds, each pair of texts chained and aligned."""
+    hashes = [passages.word_hashes(t) for t in texts]
+    low = [(h & np.uint64(0xFFFFFFFF)).astype(np.uint32) for h in hashes]
+    where, found = collections.defaultdict(list), collections.defaultdict(set)
+    for d, h in enumerate(hashes):
+        keys, _, at = passages.seeds_of([h])
+        own, met = list(zip(keys.tolist(), (at >> 23).tolist())), collections.defaultdict(set)
+        for key, place in own:
+            for holder, there in where[key]:
+                met[holder].add((place, there))
+        for holder, ab in met.items():
+            a, b = np.array(sorted(ab)).T
+            for c in passages.chain(a, b):
+                for s, e, *_ in passages.align(a[c], b[c], low[d], low[holder]):
+                    found[d].update(range(s, e))
+        for key, place in own:
+            where[key].append((d, place))
+    return found
+
+
+def stretches_in_other_texts(kind, rng):
+    """Texts with stretches of passages that are too short to be passages, texts with the passages, the stretches again, edited passages."""
+    early, late, middle, edited = [], [], [], []
+    for _ in range(4):
+        if kind == "template":
+            x, y, fill = words(rng, 17), words(rng, 17), words(rng, 22)
+            p, parts = x + fill + y, [x + words(rng, 22) + y for _ in range(4)] + [fill] * 3
+        else:
+            p = words(rng, 60)
+            parts = [p[i : i + 20] for i in (0, 20, 40)] * 2 + [p[:40], p[20:]]
+        early += [words(rng, 15) + part + words(rng, 15) for part in parts]
+        late.append(words(rng, 40) + p + words(rng, 40))
+        middle += [words(rng, 15) + part + words(rng, 15) for part in parts]
+        edited += [words(rng, 40) + [w + "q" if i % every == at else w for i, w in enumerate(p)] + words(rng, 40) for every, at in ((14, 9), (11, 5), (14, 3))]
+    rng.shuffle(early)
+    rng.shuffle(middle)
+    return [" ".join(t) for t in early + late + middle + edited]
+
+
+@pytest.mark.parametrize("kind", ["template", "lines"])
+def test_the_pipeline_looks_up_holders_until_none_is_left(spark, kind):
+    """Holders of too little of a passage, before the one that has it and after, hide none of it."""
+    import corpus_pipeline
+
+    texts = stretches_in_other_texts(kind, random.Random(5))
+    want, found = passages_by_hand(texts), found_words(spark, texts)
+    assert sum(len(w) >= 50 for w in want.values()) >= 8
+    for d, w in want.items():
+        assert len(w - found[d]) <= 2, d
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in corpus_pipeline.cut_passages(spark, docs, "").collect()}
+    assert len(out) == len(texts)
+    for d, text in enumerate(texts):
+        assert out[d].split() == [w for i, w in enumerate(text.split()) if i not in found[d]], d
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("keys", [1, 2, 12, 600])
 def test_holders_of_seeds_by_hand(spark, kind, keys):
