@@ -878,6 +878,21 @@ def test_the_pipeline_looks_up_holders_until_none_is_left(spark, kind):
         assert out[d].split() == [w for i, w in enumerate(text.split()) if i not in found[d]], d
 
 
+def test_chains_that_begin_again_are_one_row(spark):
+    """A text that repeats itself has one row for the same chain again and again, and every one of them is aligned."""
+    matches = [(1, 0, 0, 0, tile + i, 100 + i, None) for tile in (0, 40, 80, 400) for i in range(27)]
+    schema = "doc_id long, tag long, holder long, holder_tag long, place int, holder_place int, offsets array<int>"
+    got = passages.chains(spark.createDataFrame(matches, schema)).collect()
+    assert sorted((r.a[0], r.tiles) for r in got) == [(0, [0, 40, 80]), (400, [0])]
+    assert all(r.b == list(range(100, 127)) and [x - r.a[0] for x in r.a] == list(range(27)) for r in got)
+    rng = random.Random(44)
+    p = words(rng, 60)
+    again = [words(rng, 2) + [w + "q" if i % 17 == k else w for i, w in enumerate(p)] for k in (3, 20, 20, 20, 8)]
+    found = found_words(spark, [" ".join(words(rng, 40) + p + words(rng, 40)), " ".join(sum(again, []))])
+    whole = {62 * k + 2 + i for k in range(5) for i in range(60)}
+    assert len(found[1] & whole) >= 0.95 * len(whole) and not found[0]
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("keys", [1, 2, 12, 600])
 def test_holders_of_seeds_by_hand(spark, kind, keys):
