@@ -62,33 +62,34 @@ def join_words(words: Column) -> Column:
     return F.trim(F.array_join(words, " "))
 
 
-def _splits(text: Column, limit: int) -> Column:
-    """Structs (score, left, right) of the two-line splits within the limit."""
-    parts = tokens(text)
-    both = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-        lambda i: F.struct(F.array_join(F.slice(parts, F.lit(1), i), " ").alias("left"), F.array_join(F.slice(parts, i + 1, F.greatest(F.size(parts) - i, F.lit(0))), " ").alias("right")),
-    )
-    fits = F.filter(both, lambda s: (F.length(s["left"]) <= limit) & (F.length(s["right"]) <= limit) & (s["right"] != ""))
-    return F.transform(
-        fits,
-        lambda s: F.struct(
-            (F.greatest(F.length(s["left"]), F.length(s["right"])) + F.abs(F.length(s["left"]) - F.length(s["right"])) * F.lit(0.2)).alias("score"),
-            s["left"].alias("left"),
-            s["right"].alias("right"),
-        ),
-    )
+def _two_lines(text: Column, limit: int) -> tuple[Column, Column, Column]:
+    """The words with single spaces, the space (from 1) that parts them most evenly (0: none), and whether both lines keep the limit.
+
+    The longer line plus 0.2 x the difference grows with the distance from the middle, so
+    the best space is the last one up to the middle or the first one after it; of two at
+    the same distance the first. If its lines are too long, so are those of any other.
+    """
+    words = F.trim(F.regexp_replace(text, r"\s+", " "))
+    size = F.length(words)
+    middle = F.floor((size + 1) / 2).cast("int")
+    back = F.locate(" ", F.reverse(F.substring(words, F.lit(1), middle)))
+    left = F.when(back > 0, middle - back + 1).otherwise(0)
+    ahead = F.locate(" ", F.substring(words, middle + 1, size))
+    right = F.when(ahead > 0, middle + ahead).otherwise(0)
+    best = F.when((left > 0) & ((right == 0) | (size + 1 - left * 2 <= right * 2 - size - 1)), left).otherwise(right)
+    return words, best, (best > 0) & (best - 1 <= limit) & (size - best <= limit)
 
 
 def can_wrap(text: Column, limit: int = MAX_LINE) -> Column:
-    """Whether the text fits one line or two. For caption-sized texts."""
-    return (F.length(text) <= limit) | (F.size(_splits(text, limit)) > 0)
+    """Whether the text fits one line or two."""
+    return (F.length(text) <= limit) | _two_lines(text, limit)[2]
 
 
 def wrap_balanced(text: Column, limit: int = MAX_LINE) -> Column:
-    """The most even two lines within the limit; unchanged if there are none. For caption-sized texts."""
-    best = F.array_min(_splits(text, limit))
-    return F.when(F.length(text) <= limit, text).otherwise(F.coalesce(F.concat(best["left"], F.lit("\n"), best["right"]), text))
+    """The most even two lines within the limit; unchanged if there are none."""
+    words, at, fits = _two_lines(text, limit)
+    lines = F.concat(F.substring(words, F.lit(1), at - 1), F.lit("\n"), F.substring(words, at + 1, F.length(words)))
+    return F.when(F.length(text) <= limit, text).when(fits, lines).otherwise(text)
 
 
 def timestamp(seconds: Column, comma: bool = True) -> Column:
