@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,34 +64,38 @@ def join_words(words: Column) -> Column:
     return F.trim(F.array_join(words, " "))
 
 
-def _two_lines(text: Column, limit: int) -> tuple[Column, Column, Column]:
-    """The words with single spaces, the space (from 1) that parts them most evenly (0: none), and whether both lines keep the limit.
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is named."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _halves(text: Column, limit: int) -> Column:
+    """The most even two lines of the words; null if there are none within the limit.
 
     The longer line plus 0.2 x the difference grows with the distance from the middle, so
     the best space is the last one up to the middle or the first one after it; of two at
     the same distance the first. If its lines are too long, so are those of any other.
     """
+
+    def parted(words: Column, size: Column, middle: Column) -> Column:
+        back, ahead = F.locate(" ", F.reverse(F.substring(words, F.lit(1), middle))), F.locate(" ", F.substring(words, middle + 1, size))
+        spaces = F.struct(F.when(back > 0, middle - back + 1).alias("left"), F.when(ahead > 0, middle + ahead).alias("right"))
+        nearer = lambda s: F.when(s["right"].isNull() | (size + 1 - s["left"] * 2 <= s["right"] * 2 - size - 1), s["left"]).otherwise(s["right"])
+        lines = lambda at: F.when((at - 1 <= limit) & (size - at <= limit), F.concat(F.substring(words, F.lit(1), at - 1), F.lit("\n"), F.substring(words, at + 1, size)))
+        return _bound(spaces, lambda s: _bound(nearer(s), lines))
+
     words = F.trim(F.regexp_replace(text, r"\s+", " "))
-    size = F.length(words)
-    middle = F.floor((size + 1) / 2).cast("int")
-    back = F.locate(" ", F.reverse(F.substring(words, F.lit(1), middle)))
-    left = F.when(back > 0, middle - back + 1).otherwise(0)
-    ahead = F.locate(" ", F.substring(words, middle + 1, size))
-    right = F.when(ahead > 0, middle + ahead).otherwise(0)
-    best = F.when((left > 0) & ((right == 0) | (size + 1 - left * 2 <= right * 2 - size - 1)), left).otherwise(right)
-    return words, best, (best > 0) & (best - 1 <= limit) & (size - best <= limit)
+    return _bound(words, lambda w: _bound(F.length(w), lambda n: parted(w, n, F.floor((n + 1) / 2).cast("int"))))
 
 
 def can_wrap(text: Column, limit: int = MAX_LINE) -> Column:
     """Whether the text fits one line or two."""
-    return (F.length(text) <= limit) | _two_lines(text, limit)[2]
+    return (F.length(text) <= limit) | F.when(text.isNotNull(), _halves(text, limit).isNotNull())
 
 
 def wrap_balanced(text: Column, limit: int = MAX_LINE) -> Column:
     """The most even two lines within the limit; unchanged if there are none."""
-    words, at, fits = _two_lines(text, limit)
-    lines = F.concat(F.substring(words, F.lit(1), at - 1), F.lit("\n"), F.substring(words, at + 1, F.length(words)))
-    return F.when(F.length(text) <= limit, text).when(fits, lines).otherwise(text)
+    return F.when(F.length(text) <= limit, text).otherwise(F.coalesce(_halves(text, limit), text))
 
 
 def timestamp(seconds: Column, comma: bool = True) -> Column:

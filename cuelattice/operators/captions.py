@@ -52,29 +52,43 @@ class Cutter:
         self.text: str | None = None
         self.start = self.end = 0.0
         self.last = ""
+        self.plain = True  # whether single spaces are all white space of the text
 
     def takes(self, text: str, start: float, end: float) -> bool:
         """Add a word; False if it opens a new cue."""
-        same = self.text is not None and not self._parts(text, start, end)
+        plain = text.split() == [text]
+        same = self.text is not None and not self._parts(text, start, end, plain and self.plain)
         if same:
             self.text += " " + text
+            self.plain = plain and self.plain
         else:
-            self.text, self.start = text, start
+            self.text, self.start, self.plain = text, start, plain
         self.end, self.last = end, text
         return same
 
-    def _parts(self, text: str, start: float, end: float) -> bool:
-        so_far = self.text.strip()
-        longer, lasted = f"{so_far} {text}", self.end - self.start
-        if start - self.end >= GAP or len(longer) > MAX_CUE:
+    def _parts(self, text: str, start: float, end: float, plain: bool) -> bool:
+        if start - self.end >= GAP:
             return True
-        if len(longer) > MAX_LINE and not two_lines(longer):
+        so_far = self.text if plain else self.text.strip()
+        size = len(so_far) + 1 + len(text)
+        if size > MAX_CUE:
             return True
-        if end - self.start > MAX_SECONDS and lasted >= 1.0:
+        if size > MAX_LINE and not plain and not two_lines(f"{so_far} {text}"):
             return True
-        if lasted >= 1.0 and len(so_far) >= 20 and _SENTENCE.search(self.last):
+        if size > MAX_LINE and plain:
+            # of plain words, the longest first line leaves the shortest second one
+            at = len(so_far) if len(so_far) <= MAX_LINE else so_far.rfind(" ", 0, MAX_LINE + 1)
+            if at < 0 or size - 1 - at > MAX_LINE:
+                return True
+        lasted = self.end - self.start
+        if lasted < 1.0:
+            return False
+        if end - self.start > MAX_SECONDS:
+            return True
+        tail = self.last[-3:]
+        if len(so_far) >= 20 and _SENTENCE.search(tail):
             return True
-        return lasted >= 3.5 and len(so_far) >= 48 and bool(_CLAUSE.search(self.last))
+        return lasted >= 3.5 and len(so_far) >= 48 and bool(_CLAUSE.search(tail))
 
 
 def segment(words: DataFrame, book: str) -> DataFrame:
@@ -92,7 +106,7 @@ def segment(words: DataFrame, book: str) -> DataFrame:
         at, cut = None, Cutter()
         for batch in batches:
             opens = []
-            for b, island, text, start, end in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5))):
+            for b, island, text, start, end in zip(*(_values(batch.column(i)) for i in (0, 2, 3, 4, 5))):
                 if (b, island) != at:
                     at, cut = (b, island), Cutter()
                 opens.append(not cut.takes(text, start, end))
@@ -104,6 +118,50 @@ def segment(words: DataFrame, book: str) -> DataFrame:
     return cut.withColumn("cue", F.sum(F.col("opens").cast("long")).over(W.partitionBy(book).orderBy("pos"))).drop("opens")
 
 
+def _in_order(rows: DataFrame, book: str, by: str) -> DataFrame:
+    """Rows numbered by ``by`` within the book, so that a book lies in one partition and in order; rows that lie so already stay."""
+    return rows.withColumn("nth", F.row_number().over(W.partitionBy(book).orderBy(by)))
+
+
+def cut(words: DataFrame, book: str) -> DataFrame:
+    """``cues`` of words (book, pos, text, start, end), without a table of words that know their cue.
+
+    A pause of a second parts cues by the rules themselves, so no islands are needed. Books
+    are read in order, in Arrow batches with constant state, and only cues are written.
+    Words without a text, a start or an end are left out.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, number, first, top, n, cutter = None, 0, 0.0, 0.0, 0, Cutter()
+        schema = None
+        for batch in batches:
+            kinds = [batch.schema.field(i).type for i in (0, 3, 4)]
+            schema = pa.schema(list(zip(names, [kinds[0], pa.int64(), kinds[1], kinds[2], pa.int64(), pa.string()])))
+            done = []
+            for b, text, start, end in zip(*(_values(batch.column(i)) for i in (0, 2, 3, 4))):
+                if b != at:
+                    if cutter.text is not None:
+                        done.append((at, number, first, top, n, cutter.text.strip(" ")))
+                    at, number, cutter = b, 0, Cutter()
+                before = cutter.text
+                if cutter.takes(text, start, end):
+                    n += 1
+                    top = max(top, end)
+                    continue
+                if before is not None:
+                    done.append((at, number, first, top, n, before.strip(" ")))
+                number, first, top, n = number + 1, start, end, 1
+            yield _rows(done, schema)
+        if cutter.text is not None:
+            yield _rows([(at, number, first, top, n, cutter.text.strip(" "))], schema)
+
+    names = [book, "cue", "start", "raw_end", "n_words", "text"]
+    rows = words.where("text IS NOT NULL AND start IS NOT NULL AND end IS NOT NULL").select(book, "pos", "text", "start", "end")
+    rows = _in_order(rows, book, "pos").select(book, "nth", "text", "start", "end")
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(scan, f"`{book}` {kinds[book]}, cue long, start {kinds['start']}, raw_end {kinds['end']}, n_words long, text string")
+
+
 def cues(words: DataFrame, book: str) -> DataFrame:
     """One row per cue: start, raw_end, n_words, text (joined, not wrapped)."""
     grouped = words.groupBy(book, "cue").agg(
@@ -145,31 +203,45 @@ class Mender:
 def repair(cue: DataFrame, book: str) -> DataFrame:
     """Cues without overlap after one forward pass; a coincident start is moved, which the next cue sees.
 
-    Books are dealt over the cluster and read in order, in Arrow batches with constant
-    state: one open cue. Every cue is written when its follower is known.
+    Books are dealt over the cluster, unless they are so already, and read in order, in
+    Arrow batches with constant state: one open cue. Every cue is written, with all its
+    columns, when its follower is known.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, mender, held = None, Mender(), None
-        schema = None
         for batch in batches:
-            schema, done = batch.schema, []
-            for b, number, start, end in zip(*(c.to_pylist() for c in batch.columns)):
-                if held is not None and b != at:
-                    done.append((at, held, mender.start, mender.end))
+            if not batch.num_rows:
+                continue
+            done = []
+            for b, start, end in zip(*(_values(batch.column(i)) for i in (0, 1, 2))):
+                if mender.start is not None and b != at:
+                    done.append((mender.start, mender.end))
                     mender = Mender()
                 settled = mender.follows(start, end)
                 if settled is not None:
-                    done.append((at, held, *settled))
-                at, held = b, number
-            yield _rows(done, schema)
+                    done.append(settled)
+                at = b
+            last = batch.num_rows - 1
+            yield from (with_times(part, done[first : first + part.num_rows]) for part, first in ((held, 0), (batch.slice(0, last), held is not None)) if part is not None)
+            held = batch.slice(last)
         if held is not None:
-            yield _rows([(at, held, mender.start, mender.end)], schema)
+            yield with_times(held, [(mender.start, mender.end)])
+
+    def with_times(batch: pa.RecordBatch, times: list[tuple]) -> pa.RecordBatch:
+        both = [pa.array(c, batch.column(i).type) for i, c in zip((1, 2), list(zip(*times)) or [(), ()])]
+        return pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[4:], *both], names=[book, *others, "start", "end"])
+
+    others = [c for c in cue.columns if c not in (book, "start", "end")]
+    rows = _in_order(cue, book, "cue").select(book, "start", "end", "nth", *others)
+    kinds = dict(rows.dtypes)
+    fixed = rows.mapInArrow(scan, ", ".join(f"`{c}` {kinds[c]}" for c in [book, *others, "start", "end"]))
+    return fixed.select(book, "cue", *(c for c in others if c != "cue"), "start", "end")
 
-    rows = cue.select(book, "cue", "start", "end")
-    schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes)
-    fixed = rows.repartition(book).sortWithinPartitions(book, "cue").mapInArrow(scan, schema)
-    return cue.drop("start", "end").join(fixed, [book, "cue"])
+
+def _values(column: pa.Array) -> list:
+    """The values as Python's; arrays without nulls go the quick way."""
+    return column.to_pylist() if column.null_count else column.to_numpy(zero_copy_only=False).tolist()
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -204,34 +276,38 @@ def transcript_parts(chunks: DataFrame, book: str) -> DataFrame:
 def report(cue: DataFrame, words: DataFrame, chunks: DataFrame, book: str) -> DataFrame:
     """The thirteen metrics of every book that has chunks, and ``inverted_cues`` (end before start).
 
-    Cues, words and chunks are one union under one aggregate by book.
+    Cues, words and chunks are each counted by book; these counts are one union under one
+    aggregate, so no rows are sorted or moved for the report but those of cues for their followers.
     """
     order = W.partitionBy(book).orderBy("cue")
     length = F.col("end") - F.col("start")
-    cue = cue.withColumn("next", F.lead("start").over(order)).withColumn("cps", T.characters_per_second(F.col("text"), length))
+    rows = cue.select(book, F.col("cue").cast("long").alias("number"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), F.lead("start").over(order).alias("next"), "text")
     wide = F.array_max(F.transform(F.split("text", "\n"), F.length)).cast("long")
-    rows = cue.select(book, F.lit("cue").alias("kind"), F.col("cue").cast("long").alias("number"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end"), "next", "cps", wide.alias("wide"))
-    rows = rows.unionByName(words.select(book, F.lit("word").alias("kind"), F.col("start").cast("double").alias("start"), F.col("end").cast("double").alias("end")), allowMissingColumns=True)
-    rows = rows.unionByName(chunks.select(book, F.lit("chunk").alias("kind"), F.col("chunk_pos").cast("long").alias("number"), "id", "surface_restored"), allowMissingColumns=True)
-    is_cue, is_word, is_chunk = (F.col("kind") == k for k in ("cue", "word", "chunk"))
-    failed = F.transform(F.sort_array(F.collect_list(F.when(is_chunk & ~F.col("surface_restored"), F.struct("number", "id")))), lambda x: x["id"])
-    out = rows.groupBy(book).agg(
-        F.count_if(is_chunk).alias("chunks"),
-        failed.alias("surface_restore_failures"),
-        F.count_if(is_word).alias("words"),
-        F.count_if(is_word & (F.col("end") == F.col("start"))).alias("zero_duration_words_from_aligner_quantization"),
-        F.count_if(is_word & (F.col("end") < F.col("start"))).alias("negative_word_timings"),
-        F.count_if(is_cue).alias("cues"),
-        F.min_by(F.when(is_cue, F.col("start")), F.when(is_cue, F.col("number"))).alias("first_cue_start"),
-        F.max_by(F.when(is_cue, F.col("end")), F.when(is_cue, F.col("number"))).alias("last_cue_end"),
+    rows = rows.withColumn("cps", T.characters_per_second(F.col("text"), length)).withColumn("wide", wide)
+    by_cues = rows.groupBy(book).agg(
+        F.count("*").alias("cues"),
+        F.min_by("start", "number").alias("first_cue_start"),
+        F.max_by("end", "number").alias("last_cue_end"),
         F.max("wide").alias("max_line_length"),
-        F.max(F.when(is_cue, length)).alias("max_cue_duration"),
-        F.count_if(is_cue & (F.col("end") >= F.col("next"))).alias("overlap_count"),
+        F.max(length).alias("max_cue_duration"),
+        F.count_if(F.col("end") >= F.col("next")).alias("overlap_count"),
         F.count_if(F.col("cps") > 25).alias("cues_over_25_cps"),
         F.round(F.max("cps"), 3).alias("max_cps"),
-        F.count_if(is_cue & (length < 0)).alias("inverted_cues"),
+        F.count_if(length < 0).alias("inverted_cues"),
+    )
+    by_words = words.groupBy(book).agg(
+        F.count("*").alias("words"),
+        F.count_if(F.col("end") == F.col("start")).alias("zero_duration_words_from_aligner_quantization"),
+        F.count_if(F.col("end") < F.col("start")).alias("negative_word_timings"),
     )
-    return out.where("chunks > 0").fillna(0, subset=["max_line_length", "max_cue_duration", "max_cps"])
+    failed = F.sort_array(F.collect_list(F.when(~F.col("surface_restored"), F.struct(F.col("chunk_pos").cast("long").alias("number"), "id"))))
+    by_chunks = chunks.groupBy(book).agg(F.count("*").alias("chunks"), F.transform(failed, lambda x: x["id"]).alias("surface_restore_failures"))
+    rows = by_chunks.unionByName(by_words, allowMissingColumns=True).unionByName(by_cues, allowMissingColumns=True)
+    one = lambda c: F.first(c, ignorenulls=True)  # noqa: E731  each side has one row for a book at most
+    names = ["chunks", "surface_restore_failures", *by_words.columns[1:], *by_cues.columns[1:]]
+    plain = {"surface_restore_failures", "first_cue_start", "last_cue_end"}
+    out = rows.groupBy(book).agg(*((one(c) if c in plain else F.coalesce(one(c), F.lit(0))).alias(c) for c in names))
+    return out.where("chunks > 0")
 
 
 def event_islands(rows: DataFrame, key: str, time: Column, seq: str, gap: float) -> DataFrame:

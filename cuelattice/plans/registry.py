@@ -222,12 +222,8 @@ def fusion_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fused(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("words"), F.count_if("accepted").alias("fused"), F.count_if(~F.col("accepted")).alias("rejected_matches"))
 
 
-def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.segment(captions.islands(X.timed_words(spark, sf_dir), "doc_id"), "doc_id")
-
-
 def _cues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return captions.cues(_segmented(spark, sf_dir), "doc_id")
+    return captions.cut(X.timed_words(spark, sf_dir), "doc_id")
 
 
 @query

@@ -109,3 +109,17 @@ def test_word_order_ties(spark):
 def test_constants_are_used():
     assert not C.two_lines("a" * 43) and C.two_lines("a" * 42 + " " + "b" * 42) and not C.two_lines("a" * 43 + " b")
     assert F is not None
+
+
+def test_cut_gives_the_cues_of_segments(spark):
+    odd = [(7, 0, " a", 0.0, 0.5), (7, 1, "b  c", 0.6, 0.9), (7, 2, None, 0.9, 1.0), (7, 3, "d\u00a0e " * 9, 1.0, 2.2), (7, 4, "f.", 2.2, 2.4), (None, 0, "g", 0.0, 1.0), (None, 1, "h", 2.5, 3.0)]
+    df = spark.createDataFrame(made(3, docs=5, n=300) + odd, WORDS)
+    want = C.cues(C.segment(C.islands(df.where("text IS NOT NULL"), "doc_id"), "doc_id"), "doc_id")
+    got = C.cut(df, "doc_id")
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_repair_keeps_all_columns(spark):
+    df = spark.createDataFrame([("b", i, "t%d" % i, float(i), i + 1.5) for i in range(1, 30)], "book string, cue long, text string, start double, end double")
+    rows = C.repair(df, "book").orderBy("cue").collect()
+    assert [r.text for r in rows] == ["t%d" % i for i in range(1, 30)] and [r.end for r in rows][:2] == [1.96, 2.96] and rows[-1].end == 30.5
