@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,18 +28,31 @@ def compose(a_to_q: DataFrame, q_to_w: DataFrame, key: list[str]) -> DataFrame:
     return left.join(right, [*key, "q_idx"])
 
 
-def anchors(candidates: DataFrame, key: list[str], index: str = "a_idx") -> DataFrame:
+def anchors(candidates: DataFrame, key: list[str], index: str = "a_idx", within: Sequence[str] = ()) -> DataFrame:
     """Candidates with ``accepted``: the own offset is plausible and near the upper median of plausible neighbours.
 
-    The neighbourhood is four candidates to either side, not four words.
+    The neighbourhood is four candidates to either side, not four words, and of the same values of ``within``.
     """
-    near = W.partitionBy(*key).orderBy(index).rowsBetween(-NEIGHBOURS, NEIGHBOURS)
+    near = W.partitionBy(*key, *within).orderBy(index).rowsBetween(-NEIGHBOURS, NEIGHBOURS)
     plausible = F.abs("delta") <= MAX_OFFSET
     votes = F.sort_array(F.collect_list(F.when(plausible, F.col("delta"))).over(near))
     rows = candidates.withColumn("votes", votes).withColumn("median", F.expr("try_element_at(votes, cast(size(votes) div 2 + 1 AS int))"))
     return rows.withColumn("accepted", F.coalesce(plausible & (F.abs(F.col("delta") - F.col("median")) <= MAX_SPREAD), F.lit(False))).drop("votes")
 
 
+def accepted(words: DataFrame, key: list[str], index: str = "pos") -> DataFrame:
+    """Words with ``accepted`` of ``anchors`` where they have a ``delta`` and a key; null where they are no candidate.
+
+    Words with and without a delta are parts of their own in one partition, so that no
+    candidate is taken out of the words and joined to them again.
+    """
+    known = F.col("delta").isNotNull()
+    for k in key:
+        known = known & F.col(k).isNotNull()
+    rows = anchors(words.withColumn("known", known), key, index, within=["known"])
+    return rows.withColumn("accepted", F.when(F.col("known"), F.col("accepted"))).drop("known", "median")
+
+
 def fuse(words: DataFrame, key: list[str], pos: str = "pos") -> DataFrame:
     """Start and end of every word, from rows with start, end, w_start, w_end and accepted (null: no candidate).
 

@@ -207,9 +207,7 @@ def anchor_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = X.candidates(spark, sf_dir)
-    accepted = fusion.anchors(rows.where("delta IS NOT NULL"), ["doc_id"], "pos").select("doc_id", "pos", "accepted")
-    return fusion.fuse(rows.join(accepted, ["doc_id", "pos"], "left"), ["doc_id"])
+    return fusion.fuse(fusion.accepted(X.candidates(spark, sf_dir), ["doc_id"], "pos"), ["doc_id"])
 
 
 @query

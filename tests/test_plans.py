@@ -19,6 +19,6 @@ def shuffled_words(frame):
     return found
 
 
-@pytest.mark.parametrize("name", ["surface_restore", "wrap_balanced", "cue_segments"])
+@pytest.mark.parametrize("name", ["surface_restore", "wrap_balanced", "cue_segments", "fused_words", "fusion_counts"])
 def test_words_stay_where_their_text_is(spark, name):
     assert shuffled_words(QUERIES[name](spark, SF)) == []
