@@ -67,6 +67,15 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", ((F.col("start_ms") + F.col("off")) / 1000.0).alias("w_start"), ((F.col("end_ms") + F.col("off")) / 1000.0).alias("w_end"), (F.col("off") / 1000.0).alias("delta"))
 
 
+#: Turns that make a partition where their texts are matched, which takes far longer than their bytes tell.
+MATCHED_TURNS = 1000
+
+
+def matched_parts(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions in proportion to the turns, counted from the files' footers."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-table(spark, sf_dir, "conversations").count() // MATCHED_TURNS))
+
+
 def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks with the next turn's text as the second candidate; every third pair takes its own text with vowels in upper case."""
     order = W.partitionBy("conv_id").orderBy("chunk_pos")

@@ -333,7 +333,9 @@ def consensus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole reconcile stage with a stand-in editor."""
     from cuelattice.operators.backends import second_candidate
 
-    return reconcile.records(reconcile.consensus(_pairs(spark, sf_dir), second_candidate, "remote:stand-in"), "stand-in")
+    # a number of its own, which adaptive execution does not lessen by bytes
+    pairs = _pairs(spark, sf_dir).repartition(X.matched_parts(spark, sf_dir), "id")
+    return reconcile.records(reconcile.consensus(pairs, second_candidate, "remote:stand-in"), "stand-in")
 
 
 @query

@@ -22,3 +22,12 @@ def shuffled_words(frame):
 @pytest.mark.parametrize("name", ["surface_restore", "wrap_balanced", "cue_segments", "fused_words", "fusion_counts"])
 def test_words_stay_where_their_text_is(spark, name):
     assert shuffled_words(QUERIES[name](spark, SF)) == []
+
+
+def test_matching_has_tasks_in_proportion_to_the_turns(spark, monkeypatch):
+    from cuelattice.plans import fixtures
+
+    monkeypatch.setattr(fixtures, "MATCHED_TURNS", 5, raising=False)
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").count()
+    plan = QUERIES["consensus_records"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-turns // 5)}), REPARTITION_BY_NUM" in plan
